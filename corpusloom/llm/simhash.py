@@ -8,8 +8,8 @@ within the radius, at least one block differs in ``radius // blocks`` bits or fe
 Every block has its own vantage-point tree.  Its top levels (vantage values and median
 distances, a fixed few) name the shards; a fingerprint lives in one shard and visits the
 shards that its ball overlaps, only those before its own, since overlap is mutual.  In
-a shard the values of the block are joined through a local tree whose branches are
-pruned by the same bounds, and what is found is compared in all 128 bits.
+a shard the values of the block are joined through a local tree, each level of which
+measures distances over bits of its own, so that triangle bounds add up; what is found is compared in all 128 bits.
 
 Defined cases: a null or empty text, or one without words, has no fingerprint and is
 nobody's copy; rows of one doc_id are one document (the first text by hash counts); a
@@ -31,11 +31,13 @@ from .tokens import mix, slices, words
 
 BITS = 128
 RADIUS = 23
-BLOCKS = 6
+BLOCKS = 8
 #: Fingerprints that one shard holds, about; with fewer the trees have LEVELS top levels.
 SHARD_ROWS = 4_000_000
 LEVELS = 3
-LEAF = 12
+LEAF = 8
+#: Bits of a level of a shard's tree.
+GROUP = 2
 _SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 
 
@@ -138,56 +140,71 @@ def _visit_batches(batches: Iterator[pa.RecordBatch], trees: list, radius: int)
             )
 
 
-def build_tree(v: np.ndarray, seed: int = 5) -> list[tuple[np.ndarray, ...]]:
-    """Levels of a vantage-point tree over distinct values: (vantage, mu, first, last) arrays and, last, the order.
+class Tree:
+    """A vantage-point tree over distinct block values, as arrays by level.
 
-    Nodes are ranges of a permutation, made level by level; a node of LEAF values or fewer is a leaf.
+    Level l measures the distance to the vantage point in GROUP bits of its own; the values of a node
+    at one distance are a child.  Distances over disjoint bits add up, so that a query may spend its
+    radius once on all levels together: what the triangle bound takes at one level is gone at the next.
     """
-    rng = np.random.default_rng(seed)
-    order, first, last = np.arange(len(v)), np.array([0]), np.array([len(v)])
-    levels = []
-    while True:
-        split = last - first > LEAF
-        vantage = v[order[first + (rng.random(len(first)) * (last - first)).astype(np.int64)]] if len(v) else np.zeros(1, np.uint64)
-        size = last - first
-        node = np.repeat(np.arange(len(first)), size)
-        place = np.repeat(first, size) + np.arange(len(node)) - np.repeat(np.cumsum(size) - size, size)
-        d = np.bitwise_count(v[order[place]] ^ vantage[node]).astype(np.int64)
-        by = np.argsort(node * 64 + d, kind="stable")
-        d, moved = d[by], order[place][by]
-        order = order.copy()
-        order[place] = moved
-        begin = np.cumsum(size) - size
-        mu = d[np.minimum(begin + np.maximum(size // 2 - 1, 0), max(len(d) - 1, 0))] if len(d) else np.zeros(len(first), np.int64)
-        inner = np.bincount(node, d <= mu[node], len(first)).astype(np.int64) if len(d) else np.zeros(len(first), np.int64)
-        split &= (inner > 0) & (inner < size)
-        child = np.cumsum(split) - 1
-        levels.append((vantage, mu, first, last, split, child))
-        if not split.any():
-            return [*levels, (order,)]
-        f, la, i = first[split], last[split], inner[split]
-        first, last = np.stack([f, f + i], 1).ravel(), np.stack([f + i, la], 1).ravel()
-
-
-def tree_join(q: np.ndarray, v: np.ndarray, radius: int, piece: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All (i, j) with q[i] and v[j] within *radius* bits, by batches of queries; whole branches are pruned by triangle bounds."""
-    *levels, (order,) = build_tree(v)
-    for at in range(0, len(q), piece):
-        query, node = np.arange(at, min(len(q), at + piece)), np.zeros(min(len(q), at + piece) - at, np.int64)
-        for vantage, mu, first, last, split, child in levels:
-            if not len(query):
-                break
-            leaf = ~split[node]
-            ql, nl = query[leaf], node[leaf]
-            size = last[nl] - first[nl]
-            qi = np.repeat(ql, size)
-            vi = order[np.repeat(first[nl], size) + np.arange(len(qi)) - np.repeat(np.cumsum(size) - size, size)]
+
+    def __init__(self, v: np.ndarray, seed: int = 5) -> None:
+        bits = max(1, int(v.max()).bit_length() if len(v) else 1)
+        self.vantage = np.uint64(np.random.default_rng(seed).integers(0, 1 << bits))
+        self.shifts = list(range(0, bits, GROUP))
+        digits = self.digits(v)
+        key = np.zeros(len(v), np.int64)
+        for d in digits:
+            key = key * (GROUP + 1) + d
+        self.order = np.argsort(key, kind="stable")
+        key = key[self.order]
+        self.first, self.last, self.child = [np.array([0])], [np.array([len(v)])], []
+        parent = np.zeros(len(v), np.int64)
+        for level in range(len(digits)):
+            prefix = key // (GROUP + 1) ** (len(digits) - level - 1)
+            begin = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1])) if len(v) else np.zeros(0, np.int64)
+            child = np.full((len(self.first[-1]), GROUP + 1), -1, np.int32)
+            child[parent[begin], prefix[begin] % (GROUP + 1)] = np.arange(len(begin))
+            self.child.append(child)
+            self.first.append(begin)
+            self.last.append(np.append(begin[1:], len(v)))
+            parent = np.repeat(np.arange(len(begin)), self.last[-1] - begin)
+
+    def digits(self, q: np.ndarray) -> list[np.ndarray]:
+        """Distances to the vantage point, level by level."""
+        mask = np.uint64((1 << GROUP) - 1)
+        return [np.bitwise_count(((q ^ self.vantage) >> np.uint64(k)) & mask).astype(np.int8) for k in self.shifts]
+
+
+def tree_join(q: np.ndarray, v: np.ndarray, radius: int, piece: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (i, j) with q[i] and v[j] within *radius* bits; whole branches are pruned by triangle bounds.
+
+    Queries go down in pieces, and a piece that visits too many nodes is split, so that memory stays bounded.
+    """
+    tree = Tree(v)
+    digits = tree.digits(q)
+    todo = [(0, np.arange(len(q), dtype=np.int32), np.zeros(len(q), np.int32), np.full(len(q), radius, np.int8))]
+    while todo:
+        depth, query, node, left = todo.pop()
+        if len(query) > piece:
+            todo.extend((depth, query[a : a + piece], node[a : a + piece], left[a : a + piece]) for a in range(0, len(query), piece))
+            continue
+        first, size = tree.first[depth][node], (tree.last[depth] - tree.first[depth])[node]
+        leaf = (size <= LEAF) | (depth == len(digits))
+        ql, sl = query[leaf], size[leaf]
+        if len(ql):
+            qi = np.repeat(ql, sl)
+            vi = tree.order[np.repeat(first[leaf] - (np.cumsum(sl) - sl), sl) + np.arange(len(qi))]
             near = np.bitwise_count(q[qi] ^ v[vi]) <= radius
             yield qi[near], vi[near]
-            query, node = query[~leaf], node[~leaf]
-            d = np.bitwise_count(q[query] ^ vantage[node]).astype(np.int64)
-            left, right = d - radius <= mu[node], d + radius > mu[node]
-            query, node = np.concatenate([query[left], query[right]]), np.concatenate([2 * child[node[left]], 2 * child[node[right]] + 1])
+        query, node, left = query[~leaf], node[~leaf], left[~leaf]
+        if len(query):
+            children, digit, parts = tree.child[depth][node], digits[depth][query], []
+            for k in range(GROUP + 1):
+                rest = left - np.abs(digit - np.int8(k))
+                go = (rest >= 0) & (children[:, k] >= 0)
+                parts.append((query[go], children[go, k], rest[go]))
+            todo.append((depth + 1, *(np.concatenate(x) for x in zip(*parts))))
 
 
 def shard_pairs(ids: np.ndarray, home: np.ndarray, h: np.ndarray, block: int, blocks: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -199,23 +216,32 @@ def shard_pairs(ids: np.ndarray, home: np.ndarray, h: np.ndarray, block: int, bl
     by_any, by_own = np.argsort(of, kind="stable"), lives[np.argsort(own_of, kind="stable")]
     n_any, n_own = np.bincount(of, minlength=len(everyone)), np.bincount(own_of, minlength=len(own))
     s_any, s_own = np.cumsum(n_any) - n_any, np.cumsum(n_own) - n_own
-    step = 1 << 21
+    one, other = (np.ascontiguousarray(h[by_any, k]) for k in (0, 1)), (np.ascontiguousarray(h[by_own, k]) for k in (0, 1))
+    (a0, a1), (b0, b1) = one, other
+    step = 1 << 18
     for qi, vi in tree_join(everyone, own, radius // blocks):
-        size = n_any[qi] * n_own[vi]
+        wide = n_own[vi]
+        size = n_any[qi] * wide
         ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        for lo in range(0, total, step):  # in pieces, however many rows share a value
-            flat = np.arange(lo, min(total, lo + step))
-            k = np.searchsorted(ends, flat, "right")
-            r = flat - (ends[k] - size[k])
-            i, j = by_any[s_any[qi[k]] + r // n_own[vi[k]]], by_own[s_own[vi[k]] + r % n_own[vi[k]]]
-            keep = ids[i] != ids[j]
-            keep &= ~home[i] | (ids[i] < ids[j])  # two that live here meet twice
-            i, j = i[keep], j[keep]
-            d = np.bitwise_count(h[i, 0] ^ h[j, 0]).astype(np.int32) + np.bitwise_count(h[i, 1] ^ h[j, 1])
-            near = d <= radius
+        begins = ends - size
+        for lo in range(0, int(ends[-1]) if len(ends) else 0, step):  # in pieces, however many rows share a value
+            hi = min(int(ends[-1]), lo + step)
+            k = np.arange(np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi - 1, "right") + 1)
+            k = np.repeat(k, np.minimum(ends[k], hi) - np.maximum(begins[k], lo))
+            r = np.arange(lo, hi) - begins[k]
+            w = wide[k]
+            of_any = r // w
+            j = s_own[vi[k]] + r - of_any * w
+            i = s_any[qi[k]] + of_any
+            d = np.bitwise_count(a0[i] ^ b0[j])
+            near = np.flatnonzero(d <= radius)
             i, j = i[near], j[near]
-            yield np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), d[near]
+            d = d[near].astype(np.int32) + np.bitwise_count(a1[i] ^ b1[j])
+            near = d <= radius
+            i, j, d = by_any[i[near]], by_own[j[near]], d[near]
+            keep = (ids[i] != ids[j]) & (~home[i] | (ids[i] < ids[j]))  # two that live here meet twice
+            i, j = i[keep], j[keep]
+            yield np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), d[keep]
 
 
 class Forest:
