@@ -6,7 +6,7 @@ Found are all passages of ``min_words`` words or more that occur twice, within o
    ``min_words`` words) that both places choose alike.  Anchors that occur once are dropped: no
    suffix around them can have a neighbour with a long common prefix.  Equal texts count once here.
 2. The words around each remaining anchor (as many as a passage that holds it can reach) go to the
-   anchor's shard.  A shard's contexts form one text.  The suffixes of its difference-cover sample
+   anchor's shard.  A shard's contexts, equal ones once, form one text.  The suffixes of its difference-cover sample
    (6 of 31 positions) are ranked first, by prefix doubling.  Then the suffixes are sorted one block at
    a time, a block being those that start at one offset: by their first 31 words, and ties by the
    ranks of the sample suffixes that the cover puts at the same distance from each.  Memory is bounded by the
@@ -37,7 +37,7 @@ ANCHOR = 16
 #: A perfect difference set: for any two residues mod COVER there is one shift that takes both into it.
 COVER, SAMPLE = 31, (1, 5, 11, 24, 25, 27)
 #: Contexts that one shard sorts, about.
-SHARD_CONTEXTS = 20_000
+SHARD_CONTEXTS = 5_000
 
 
 def anchors(h: np.ndarray, off: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,14 +115,14 @@ class Text:
     def __init__(self, contexts: np.ndarray) -> None:
         n, width = contexts.shape
         self.stride = -(-(width + 1) // COVER) * COVER
-        t = np.zeros((n, self.stride), np.int64)
+        t = np.zeros((n, self.stride), np.int32)
         known, ids = np.unique(contexts, return_inverse=True)
         t[:, :width] = ids.reshape(n, width)
-        own = np.arange(n * self.stride).reshape(n, self.stride) + len(known)  # like no other
+        own = np.arange(n * self.stride, dtype=np.int32).reshape(n, self.stride) + len(known)  # like no other
         gap = np.ones((n, self.stride), bool)
         gap[:, :width] = contexts == 0
         t[gap] = own[gap]
-        self.words = np.concatenate([t.ravel(), np.arange(2 * COVER) + n * self.stride + len(known)])
+        self.words = np.concatenate([t.ravel(), np.arange(2 * COVER, dtype=np.int32) + np.int32(n * self.stride + len(known))])
         self.size = n * self.stride
         self.shift = np.zeros((COVER, COVER), np.int64)
         for a in range(COVER):
@@ -162,31 +162,30 @@ class Text:
         return block
 
 
-def repeated_windows(docs: np.ndarray, pos: np.ndarray, contexts: np.ndarray, min_words: int, block_size: int = 1 << 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, first word, smallest doc with it) of each window of *min_words* words that occurs twice in the contexts."""
+def repeated_windows(docs: np.ndarray, copies: np.ndarray, contexts: np.ndarray, min_words: int, block_size: int = 1 << 13) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, offset, smallest doc) of each window of *min_words* words that occurs twice; a context stands for *copies* places."""
     text = Text(contexts)
     left = min_words - ANCHOR
-    full = np.cumsum(contexts == 0, axis=1)
+    full = np.cumsum(contexts == 0, axis=1, dtype=np.int16)
     view = sliding_window_view(text.words, min_words)
     out = []
     for o in range(left + 1):
-        has = full[:, o + min_words - 1] - (full[:, o - 1] if o else 0) == 0
-        for some in np.array_split(np.flatnonzero(has), max(1, int(has.sum()) // block_size)) if has.sum() <= block_size else _by_first_word(text, np.flatnonzero(has), o, block_size):
-            if len(some) < 2:
+        has = np.flatnonzero(full[:, o + min_words - 1] == (full[:, o - 1] if o else 0))
+        for some in [has] if len(has) <= block_size else _by_first_word(text, has, o, block_size):
+            if not len(some):
                 continue
             order = text.sort(some * text.stride + o)
-            same = np.empty(len(order), bool)
-            same[0] = False
+            same = np.zeros(len(order), bool)
             for a in range(1, len(order), 4096):
                 b = min(len(order), a + 4096)
                 same[a:b] = (view[order[a:b]] == view[order[a - 1 : b - 1]]).all(axis=1)
             group = np.cumsum(~same) - 1
-            size = np.bincount(group)
             c = order // text.stride
+            size = np.bincount(group, copies[c])
             least = np.full(len(size), np.iinfo(np.int64).max)
             np.minimum.at(least, group, docs[c])
             twice = size[group] > 1
-            out.append(np.stack([docs[c][twice], pos[c][twice] - left + o, least[group][twice]]))
+            out.append(np.stack([c[twice], np.full(int(twice.sum()), o), least[group][twice]]))
     return tuple(np.concatenate(out, axis=1)) if out else (np.zeros(0, np.int64),) * 3
 
 
@@ -208,10 +207,26 @@ def _by_first_word(text: Text, contexts: np.ndarray, o: int, block_size: int) ->
 def _sort_shard(t: pa.Table, min_words: int) -> pa.Table:
     doc, pos = t["doc"].to_numpy(), t["pos"].to_numpy().astype(np.int64)
     _, one = np.unique(np.stack([doc, pos], axis=1), axis=0, return_index=True)
+    doc, pos = doc[one], pos[one]
     w = np.frombuffer(b"".join(t["words"].take(pa.array(one)).to_pylist()), np.uint32).reshape(len(one), -1)
-    d, p, first = repeated_windows(doc[one], pos[one], w, min_words)
-    d, p, e, first = spans(d, p, p + min_words, first)
-    return pa.table({"doc": pa.array(d, pa.int64()), "start_word": pa.array(p, pa.int64()), "end_word": pa.array(e, pa.int64()), "first": pa.array(first, pa.int64())})
+    _, first_of, kind, copies = np.unique(np.ascontiguousarray(w).view(f"V{4 * w.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True)
+    least = np.full(len(first_of), np.iinfo(np.int64).max)
+    np.minimum.at(least, kind, doc)
+    c, o, first = spans_of(*repeated_windows(least, copies, w[first_of], min_words), min_words)
+    # each place of a context has the context's spans
+    begin, end = np.searchsorted(c, kind), np.searchsorted(c, kind, "right")
+    n = end - begin
+    at = np.repeat(np.arange(len(kind)), n)
+    k = np.repeat(begin, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+    start = pos[at] - (min_words - ANCHOR) + o[0][k]
+    d, p, e, f = spans(doc[at], start, start + o[1][k], first[k])
+    return pa.table({"doc": pa.array(d, pa.int64()), "start_word": pa.array(p, pa.int64()), "end_word": pa.array(e, pa.int64()), "first": pa.array(f, pa.int64())})
+
+
+def spans_of(c: np.ndarray, o: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Windows of contexts to (context, (offset, length), smallest doc), sorted by context."""
+    c, a, b, first = spans(c, o, o + min_words, first)
+    return c, (a, b - a), first
 
 
 def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
