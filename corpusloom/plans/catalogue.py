@@ -1,4 +1,234 @@
-"""Registered queries and their DuckDB SQL."""
+"""Registered queries over whole tables, with their DuckDB SQL where SQL can express them."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import quality as Q
+from ..functions import text as T
+from ..operators import chunks, dedup, records
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+WORD = r"\pL\pN_"
+STRIP = r"^\s+|\s+$"
+SQL_LINES = "string_split({t}, chr(10))"
+SQL_SENTENCES = "list_filter(list_transform(regexp_extract_all(text, '[^。！？.!?;；]*[。！？.!?;；]|[^。！？.!?;；]+'), lambda x: regexp_replace(x, '^\\s+', '')), lambda x: trim(x) <> '')"
+SQL_PAGE = "coalesce(array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace({t}, '<[^>]+>', '', 'g'), 'https?://\\S+', '', 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), chr(10)), '')"
+SQL_MAIL = SQL_PAGE.replace("'https?://\\S+', '', 'g')", "'https?://\\S+', '', 'g'), '[\\pL\\pN_.+-]+@[\\pL\\pN_-]+\\.[\\pL\\pN_.-]+', '', 'g')").replace("string_split(regexp_replace(", "string_split(regexp_replace(regexp_replace(")
+SQL_KEY = "md5(lower(regexp_replace(text, '\\s+', '', 'g')))"
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(name: str, table: str, sql: str | None = None):
+    """Registers a function of one table."""
+
+    def add(f: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        QUERIES[name] = lambda spark, sf_dir: f(read(spark, sf_dir, table))
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def scalar(name: str, cleaner: T.Cleaner, sql: str | None, table: str = "documents", key: str = "doc_id", column: str = "text") -> None:
+    query(name, table, f"select {key}, {sql} as clean from {table}" if sql else None)(lambda df: df.select(key, cleaner(F.col(column)).alias("clean")))
+
+
+def lines_sql(test: str) -> str:
+    return f"coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x: {test}), chr(10)), '')"
+
+
+scalar("strip_tags", T.strip_tags, "regexp_replace(html, '<[^>]+>', '', 'g')", "pages", "page_id", "html")
+scalar("strip_urls", T.strip_urls, r"regexp_replace(url, 'https?://\S+', '', 'g')", "pages", "page_id", "url")
+scalar("strip_emails", T.strip_emails, rf"regexp_replace(text, '[{WORD}.\-]+@[{WORD}.\-]+\.[{WORD}]+', '', 'g')")
+scalar("one_space", T.one_space(), r"regexp_replace(text, '[^\S\n]+', ' ', 'g')")
+scalar("keep_known_chars", T.keep_known_chars, r"regexp_replace(text, '[^\x20-\x7E\x{4E00}-\x{9FFF}\x{3000}-\x{303F}\x{FF00}-\x{FFEF}\n\r\t]', '', 'g')")
+scalar("keep_line_chars", T.keep_line_chars, r"regexp_replace(text, '[^\x20-\x7E\x{4E00}-\x{9FA5}\x{3000}-\x{303F}\x{FF00}-\x{FFEF}]', '', 'g')")
+scalar("squeeze_spaces", T.squeeze_spaces, rf"regexp_replace(regexp_replace(regexp_replace(text, '[^\S\n]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '{STRIP}', '', 'g')")
+scalar("drop_blank_lines", T.drop_blank_lines, lines_sql(r"regexp_replace(x, '^\s+|\s+$', '', 'g') <> ''"))
+scalar("drop_short_lines", T.drop_short_lines(20), lines_sql(r"length(regexp_replace(x, '^\s+|\s+$', '', 'g')) >= 20"))
+scalar("drop_page_numbers", T.drop_page_numbers, lines_sql(r"not regexp_matches(x, '^\s*第\s*\d+\s*页\s*$|^\s*\d+\s*/\s*\d+\s*$|^\s*-?\s*\d+\s*-?\s*$|^\s*Page\s*\d+\s*$')"))
+scalar("drop_notices", T.drop_notices(), lines_sql(r"not regexp_matches(x, '(?i)Copyright\s+|All rights reserved|版权所有')"))
+scalar("fix_mojibake", T.fix_mojibake, "replace(replace(replace(replace(text, '锟斤拷', ''), '烫烫烫', ''), '屯屯屯', ''), chr(65533), '')")
+scalar("strip_images", T.strip_images, r"regexp_replace(text, '!\[.*?\]\(.*?\)', '', 'g')")
+scalar("strip_links", T.strip_links(), r"regexp_replace(text, '\[([^\]]+)\]\([^\)]+\)', '\1', 'g')")
+scalar("strip_code_blocks", T.strip_code_blocks, r"regexp_replace(text, '```[\s\S]*?```', '', 'g')")
+scalar("drop_comments", T.drop_comments("python"), r"""regexp_replace(regexp_replace(regexp_replace(text, '(?m)#.*$', '', 'g'), '\"\"\"[\s\S]*?\"\"\"', '', 'g'), '''''''[\s\S]*?''''''', '', 'g')""")
+scalar("drop_imports", T.drop_imports("python"), r"regexp_replace(regexp_replace(text, '(?m)^import .+$', '', 'g'), '(?m)^from .+ import .+$', '', 'g')")
+scalar("drop_contents", T.drop_contents, None)
+scalar("clean_page", T.clean_page, SQL_PAGE.format(t="html"), "pages", "page_id", "html")
+scalar("clean_page_and_mail", T.clean_page_and_mail, SQL_MAIL.format(t="text"))
+scalar("preset_markdown", T.PRESETS["markdown"], None)
+scalar("preset_file", T.PRESETS["file"], None)
+scalar("strip_tail_page", T.strip_tail_page, r"regexp_replace(regexp_replace(text, '[/\s]*\(\s*\d{1,4}\s*\)\s*$', '', 'g'), '[/\s]+\d{1,4}\s*$', '', 'g')")
+scalar("strip_author_year", T.strip_author_year, None)
+scalar("strip_figures_and_references", T.compose(T.strip_figures, T.strip_references, T.strip_et_al, T.strip_brackets), None)
+scalar("markdown_lines", lambda t: F.array_join(T.markdown_lines(t), "\n"), None)
+scalar("plain_lines", lambda t: F.array_join(T.plain_lines(t), "\n"), None)
+
+
+@query(
+    "cleaning_stats", "documents",
+    f"""with c as (select text, regexp_replace(regexp_replace(regexp_replace(text, '[^\\S\\n]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '{STRIP}', '', 'g') as clean from documents)
+select sum(length(text))::bigint as original_chars, sum(length(clean))::bigint as cleaned_chars, sum(len(string_split(text, chr(10))))::bigint as original_lines, sum(len(string_split(clean, chr(10))))::bigint as cleaned_lines from c""",
+)
+def cleaning_stats(df: DataFrame) -> DataFrame:
+    df = df.select("text", T.squeeze_spaces(F.col("text")).alias("clean"))
+    total = lambda c: F.sum(c).cast("long")
+    return df.agg(total(F.length("text")).alias("original_chars"), total(F.length("clean")).alias("cleaned_chars"), total(F.size(T.lines(F.col("text")))).alias("original_lines"), total(F.size(T.lines(F.col("clean")))).alias("cleaned_lines"))
+
+
+@query(
+    "clean_dedup_by_source", "documents",
+    f"""with c as (select doc_id, source, {SQL_PAGE.format(t="text")} as text from documents where length(regexp_replace(text, '{STRIP}', '', 'g')) >= 50),
+d as (select * from c where length(text) >= 50 qualify row_number() over (partition by {SQL_KEY} order by doc_id) = 1)
+select source, count(*) as n, sum(length(text))::bigint as chars, round(sum(length(text)) / 1048576, 1) as mb from d group by source""",
+)
+def clean_dedup_by_source(df: DataFrame) -> DataFrame:
+    df = df.where(F.length(T.strip(F.col("text"))) >= 50).select("doc_id", "source", T.clean_page(F.col("text")).alias("text"))
+    # the digest, not the text, goes through the exchange that finds first rows; lengths are all that the report needs
+    df = df.where(F.length("text") >= 50).select("doc_id", "source", T.normal_key(F.col("text")).alias("k"), F.length("text").alias("n"))
+    first = df.groupBy("k").agg(F.min(F.struct("doc_id", "source", "n")).alias("f")).select("f.*")
+    return first.groupBy("source").agg(F.count("*").alias("n"), F.sum("n").cast("long").alias("chars"), F.round(F.sum("n") / 1048576, 1).alias("mb"))
+
+
+query("dedup_exact", "documents", "select doc_id from documents qualify row_number() over (partition by md5(coalesce(text, '')) order by doc_id) = 1")(lambda df: dedup.exact(df).select("doc_id"))
+query("dedup_normalised", "documents", f"select doc_id from documents qualify row_number() over (partition by {SQL_KEY} order by doc_id) = 1")(lambda df: dedup.normalised(df).select("doc_id"))
+query("dedup_rule", "documents", rf"with d as (select doc_id, regexp_replace(text, '{STRIP}', '', 'g') as text from documents) select doc_id, text from d where text <> '' qualify row_number() over (partition by {SQL_KEY} order by doc_id) = 1")(lambda df: dedup.rule(df).select("doc_id", "text"))
+query(
+    "distinct_lines", "documents",
+    rf"""with l as (select doc_id, unnest({SQL_LINES.format(t="text")}) as line, generate_subscripts({SQL_LINES.format(t="text")}, 1) - 1 as line_no from documents)
+select doc_id, line_no, line from l where regexp_replace(line, '{STRIP}', '', 'g') <> '' qualify row_number() over (partition by doc_id, lower(line) order by line_no) = 1""",
+)(lambda df: dedup.distinct_lines(df))
+query(
+    "dedup_rates", "documents",
+    f"with u as (select count(*) as n, count(distinct {SQL_KEY}) as u from documents) select n as total, u as \"unique\", n - u as duplicates, (n - u) / greatest(n, 1) as rate from u",
+)(lambda df: dedup.rates(df, dedup.normalised(df)))
+query("longest_name", "pages", "select page_id from (select page_id, md5(left(html, 30)) as h, url from pages) qualify row_number() over (partition by h order by length(regexp_extract(url, '[^/]*$')) desc, url) = 1")(
+    lambda df: dedup.longest_name(df.select("page_id", F.md5(F.substring("html", 1, 30)).alias("sha256"), F.col("url").alias("path"))).select("page_id")
+)
+query(
+    "minhash_pairs", "documents",
+    """with g as (select doc_id, list_distinct(list_transform(range(1, length(text) - 1), lambda i: substr(text, i, 3))) as g from documents where length(text) >= 3),
+p as (select a.doc_id as a, b.doc_id as b, len(list_intersect(a.g, b.g)) as n, len(a.g) as x, len(b.g) as y from g a join g b on a.doc_id < b.doc_id and least(len(a.g), len(b.g)) >= 0.9 * greatest(len(a.g), len(b.g)))
+select a, b, n / (x + y - n) as jaccard from p where n / (x + y - n) >= 0.9""",
+)(lambda df: dedup.minhash_pairs(df, 0.9))
+query("dedup_minhash", "documents")(lambda df: dedup.minhash(df, 0.9).select("doc_id"))
+query(
+    "cosine_pairs", "embeddings",
+    """with u as (select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings)
+select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id < b.vec_id where list_cosine_similarity(a.v, b.v) > 0.3""",
+)(lambda df: dedup.cosine_pairs(df, 0.3).select("a", "b"))
+query("dedup_semantic", "embeddings")(lambda df: dedup.semantic(df, 0.3).select("vec_id"))
+
+query("split_lines", "documents", rf"with l as (select doc_id, unnest({SQL_LINES.format(t='text')}) as x, generate_subscripts({SQL_LINES.format(t='text')}, 1) - 1 as pos from documents) select doc_id, pos, regexp_replace(x, '{STRIP}', '', 'g') as text from l where length(regexp_replace(x, '{STRIP}', '', 'g')) between 40 and 400")(
+    lambda df: chunks.split_by(df, "line", 40, 400)
+)
+query("split_paragraphs", "documents", rf"with l as (select doc_id, unnest(string_split(text, chr(10) || chr(10))) as x, generate_subscripts(string_split(text, chr(10) || chr(10)), 1) - 1 as pos from documents) select doc_id, pos, regexp_replace(x, '{STRIP}', '', 'g') as text from l where length(regexp_replace(x, '{STRIP}', '', 'g')) >= 1")(
+    lambda df: chunks.split_by(df, "paragraph")
+)
+query("sentences", "documents", f"select doc_id, unnest({SQL_SENTENCES}) as sentence from documents")(lambda df: df.select("doc_id", F.explode(T.sentences(F.col("text"))).alias("sentence")))
+query("chunks", "documents")(lambda df: chunks.chunks(df))
+query("plain_sections", "documents")(lambda df: chunks.plain_sections(df))
+query("markdown_sections", "documents")(lambda df: chunks.markdown_sections(df))
+
+SQL_STOP = "[" + ", ".join(f"'{w}'" for w in Q.STOP_EN + Q.STOP_ZH) + "]"
+SQL_WORDS = rf"list_filter(list_distinct(list_concat(list_filter(regexp_extract_all(lower(text), '[a-zA-Z]+'), lambda w: length(w) > 1), regexp_extract_all(text, '[\x{{4e00}}-\x{{9fff}}]'))), lambda w: not list_contains({SQL_STOP}, w))"
+query(
+    "info_density", "documents",
+    rf"""with d as (select doc_id, coalesce(list_sum(list_transform({SQL_WORDS}, lambda w: length(w))), 0) / length(text) as d from documents)
+select doc_id, round(case when d >= 0.8 then 1.0 when d <= 0.3 then 0.2 else 0.2 + 0.8 * (d - 0.3) / 0.5 end, 4)::double as info_density from d""",
+)(lambda df: df.select("doc_id", F.round(Q.density(F.col("text")), 4).alias("info_density")))
+query("quality_scores", "documents")(lambda df: df.select("doc_id", Q.scores(F.col("text")).alias("q")).select("doc_id", "q.*"))
+query("quality_filter", "documents")(lambda df: df.select("doc_id", Q.scores(F.col("text")).alias("q")).select("doc_id", "q.*").where("quality_score >= 0.3 and noise_ratio <= 0.1"))
+query("length_gate", "documents", rf"select doc_id from documents where length(regexp_replace(text, '{STRIP}', '', 'g')) between 100 and 1000000")(lambda df: records.length_gate(df).select("doc_id"))
+
+query("source_stats", "documents", "select source, count(*) as n, sum(length(text))::bigint as chars, round(sum(length(text)) / 1048576, 1) as mb from documents group by 1")(records.by_group)
+query(
+    "corpus_metadata", "documents",
+    "select (select count(distinct source) from documents) as n_sources, sum(length(text))::bigint as total_chars, count(*) as total_records, array_to_string(list_sort(list(distinct source)), ',') as sources from documents",
+)(lambda df: df.agg(F.count_distinct("source").alias("n_sources"), F.sum(F.length("text")).cast("long").alias("total_chars"), F.count("*").alias("total_records"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("sources")))
+query("duplicate_index", "documents", "select sha256(text) as sha256, count(*) as n, array_to_string(list_sort(list(doc_id)), ',') as ids from documents group by 1 having count(*) > 1")(
+    lambda df: df.groupBy(F.sha2("text", 256).alias("sha256")).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("doc_id")), ",").alias("ids")).where("n > 1")
+)
+query("status_pivot", "events", "select user_id % 10 as g, event_type, count(*) as n from events group by all")(lambda df: df.groupBy((F.col("user_id") % 10).alias("g"), "event_type").agg(F.count("*").alias("n")))
+query("human_size", "documents", "select doc_id, case when n_chars < 1024 then printf('%.1f B', n_chars::double) else printf('%.1f KB', floor(n_chars / 1024.0 * 10 + 0.5) / 10) end as size from documents")(lambda df: df.select("doc_id", records.human_size(F.col("n_chars")).alias("size")))
+query("analyse_dataset", "documents", "select count(*) as samples, sum(length(text))::bigint as chars, sum(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')))::bigint as words, min(length(text)) as min_length, max(length(text)) as max_length, avg(length(text)) as avg_length, list_sort(list(length(text)))[count(*) // 2 + 1] as median_length from documents")(
+    records.analyse
+)
+SQL_ORDER = "row_number() over (order by md5(doc_id::varchar || '42'), doc_id)"
+query("split_dataset", "documents", f"with d as (select doc_id, {SQL_ORDER} as k, count(*) over () as n from documents) select doc_id, case when k <= floor(n * 0.1) then 'test' when k <= floor(n * 0.1) + floor(n * 0.05) then 'val' else 'train' end as split from d")(
+    lambda df: records.split(df.select("doc_id"), 0.1, 0.05)
+)
+query("sample_rows", "documents", f"select doc_id from documents qualify {SQL_ORDER} <= 100")(lambda df: records.sample(df.select("doc_id"), n=100))
+query("sample_ratio", "documents", f"select doc_id from documents qualify {SQL_ORDER} <= floor(count(*) over () * 0.25)")(lambda df: records.sample(df.select("doc_id"), ratio=0.25))
+
+
+def _merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = {"documents": read(spark, sf_dir, "documents").select("text"), "benchmark": read(spark, sf_dir, "benchmark").select("text")}
+    return records.merge(frames).groupBy("origin").agg(F.count("*").alias("n"), F.count_distinct(F.md5("text")).alias("distinct_texts"))
+
+
+QUERIES["merge_datasets"] = _merge
+ORACLES["merge_datasets"] = "select origin, count(*) as n, count(distinct text) as distinct_texts from (select 'documents' as origin, text from documents union all select 'benchmark', text from benchmark) where length(text) > 0 group by 1"
+
+query("assemble_messages", "conversations", "select conv_id, string_agg(role || ':' || text, chr(10) order by turn) as chat, count(*) as n from conversations group by 1")(
+    lambda df: records.assemble(df).select("conv_id", F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n").alias("chat"), F.size("messages").cast("long").alias("n"))
+)
+query("validate_messages", "conversations", "select conv_id, (count(*) >= 2 and arg_max(role, turn) = 'assistant') as valid from conversations group by 1")(
+    lambda df: records.assemble(df).select("conv_id", (F.size(records.message_errors(F.col("messages"), strict=True)) == 0).alias("valid"))
+)
+query("message_errors", "conversations", "with c as (select conv_id, count(*) as n, arg_max(role, turn) as r from conversations group by 1), e as (select case when n < 2 then 'fewer than 2 messages' end as e from c union all select case when r <> 'assistant' then 'last message is not the assistant''s' end from c) select e as error, count(*) as n from e where e is not null group by 1")(
+    lambda df: records.assemble(df).select(F.explode(records.message_errors(F.col("messages"), strict=True)).alias("error")).groupBy("error").agg(F.count("*").alias("n"))
+)
+query("role_distribution", "conversations", "select role, count(*) as n from conversations group by 1")(lambda df: df.groupBy("role").agg(F.count("*").alias("n")))
+query("message_lengths", "conversations", "select conv_id, sum(length(text))::bigint as chars from conversations group by 1 having sum(length(text)) between 10 and 50000")(
+    lambda df: records.assemble(df).select("conv_id", records.total_length(F.col("messages")).cast("long").alias("chars")).where("chars between 10 and 50000")
+)
+query("record_formats", "conversations", "select conv_id, turn, case role when 'system' then 'alpaca' when 'user' then 'messages' else 'qa' end as format from conversations")(
+    lambda df: df.select("conv_id", "turn", records.record_format(F.when(F.col("role") == "user", F.lit('{"messages":null,"question":1,"answer":2}')).when(F.col("role") == "system", F.to_json(F.struct(F.col("text").alias("instruction")))).otherwise(F.to_json(F.struct(F.col("text").alias("question"), F.col("text").alias("answer"))))).alias("format"))
+)
+
+
+def _first(messages: Column) -> list[Column]:
+    return [messages[0]["content"].alias("ask"), messages[1]["content"].alias("answer")]
+
+
+def _qa(df: DataFrame) -> DataFrame:
+    pairs = df.alias("q").join(df.alias("a"), (F.col("q.conv_id") == F.col("a.conv_id")) & (F.col("a.turn") == F.col("q.turn") + 1)).where("q.role = 'user' and a.role = 'assistant'")
+    return pairs.select(F.col("q.conv_id").alias("conv_id"), F.col("q.turn").alias("turn"), records.qa_messages(F.col("q.text"), F.col("a.text"), F.col("q.role")).alias("m")).select("conv_id", "turn", *_first(F.col("m")))
+
+
+query("qa_messages", "conversations", "select q.conv_id, q.turn, '背景信息：' || chr(10) || q.role || chr(10) || chr(10) || '问题：' || q.text as ask, a.text as answer from conversations q join conversations a on q.conv_id = a.conv_id and a.turn = q.turn + 1 where q.role = 'user' and a.role = 'assistant'")(_qa)
+query("instruction_messages", "documents", "select doc_id, lang || chr(10) || chr(10) || source as ask, text as answer from documents")(
+    lambda df: df.select("doc_id", records.instruction_messages(F.col("lang"), F.col("source"), F.col("text")).alias("m")).select("doc_id", *_first(F.col("m")))
+)
+query("sharegpt_messages", "conversations", "select conv_id, turn, case when role = 'user' then 'user' else 'assistant' end as role, text as content from conversations")(
+    lambda df: df.select("conv_id", "turn", F.array(F.struct(F.when(F.col("role") == "user", "human").otherwise(F.col("role")).alias("from"), F.col("text").alias("value"))).alias("c")).select("conv_id", "turn", F.inline(records.sharegpt_messages(F.col("c"))))
+)
+query("summary_messages", "documents", "select doc_id, '请总结以下内容：' || chr(10) || chr(10) || text as ask, source as answer from documents")(
+    lambda df: df.select("doc_id", records.task_messages("summary", F.col("text"), F.col("source")).alias("m")).select("doc_id", *_first(F.col("m")))
+)
+query("section_records", "documents", "select doc_id, '# ' || source || chr(10) || chr(10) || text as record from documents where text not like '#%' union all select doc_id, text from documents where text like '#%'")(
+    lambda df: df.select("doc_id", records.section_record(F.col("source"), F.col("text")).alias("record"))
+)
+query("code_records", "documents", "select doc_id, '# Repository: ' || source || ' | Language: ' || case lang when 'en' then 'en' else lang end || chr(10) || chr(10) || text as record from documents")(
+    lambda df: df.select("doc_id", records.code_record(F.col("text"), F.col("source"), F.lit(None).cast("string"), F.col("lang")).alias("record"))
+)
+query("rich_records", "documents", "select doc_id, '# ' || lang || chr(10) || chr(10) || text as text, source as category, length(text) as char_count from documents where text not like '#%' union all select doc_id, text, source, length(text) from documents where text like '#%'")(
+    lambda df: df.select("doc_id", records.rich_record(F.col("lang"), F.col("text"), category=F.col("source"), char_count=F.length("text").cast("long")).alias("r")).select("doc_id", "r.text", "r.meta.category", "r.meta.char_count")
+)
+query("path_category", "pages", "select page_id, case when regexp_extract(url, '^https?://[^/]+/([^/]+)/', 1) <> '' then regexp_extract(url, '^https?://[^/]+/([^/]+)/', 1) else 'unknown' end as category from pages where url not like '%?%'")(
+    lambda df: df.where("url not like '%?%'").select("page_id", records.category(F.regexp_replace("url", "^https?://[^/]+", "/data"), "/data").alias("category"))
+)
+query("pdf_dates", "events", "select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') as iso from events")(lambda df: df.select("event_id", records.pdf_date(F.concat(F.lit("D:"), F.date_format("ts", "yyyyMMddHHmmss"), F.lit("+08'00'"))).alias("iso")))

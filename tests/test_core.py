@@ -1,0 +1,111 @@
+"""Cleaners, chunks, quality, dedup, records and sources on inline cases, and every registered query on the smallest tables."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.functions import quality as Q
+from corpusloom.functions import text as T
+from corpusloom.operators import chunks, dedup, records
+from corpusloom.sources import files
+from corpusloom.streaming import ingest
+
+MIXED = "Heat flows. Work is done! pi is 3.14 here; 能量守恒。熵增加？"
+
+
+def one(spark, f, *values):
+    names = [f"c{i}" for i in range(len(values))]
+    return spark.createDataFrame([values], names).select(f(*(F.col(n) for n in names)).alias("r")).head()["r"]
+
+
+@pytest.mark.parametrize(
+    ("f", "given", "want"),
+    [
+        (T.strip_author_year, "As Zhang (2021) and 李和王（2019，2020） show", "As  and  show"),
+        (T.keep_line_chars, "Café “x” — 能量\t…", "Caf x  能量"),
+        (T.keep_known_chars, "Café “x” — 能量\t…", "Caf x  能量\t"),
+        (T.strip_tail_page, "Intro (12)", "Intro"),
+        (T.strip_tail_page, "Ch 1 / 7", "Ch 1"),
+        (T.squeeze_spaces, "  a\t b\n\n\n\nc  ", "a b\n\nc"),
+        (T.clean_page, "<p>Hi <b>you</b></p>\n\n see https://a.b/c?d now\t ok ", "Hi you\nsee now ok"),
+        (T.drop_contents, "# Contents\n1. a\n[b](c)\ntext\n2. kept", "text\n2. kept"),
+        (T.strip_links(), "[a](b) ![c](d)", "a !c"),
+        (T.normal_key, "Hello  World\n", "fc5e038d38a57032085441e7fe7010b0"),
+    ],
+)
+def test_cleaners(spark, f, given, want):
+    assert one(spark, f, given) == want
+
+
+def test_lines_and_chunks(spark):
+    assert one(spark, lambda t: T.mend_lines(F.split(t, "\\|")), "a|b|c|d.||e|# H|f") == ["a b", "c d.", "", "e", "# H f"]
+    parts = ["Heat flows.", "Work is done!", "pi is 3.", "14 here;", "能量守恒。", "熵增加？"]
+    assert one(spark, T.sentences, MIXED) == parts
+    assert one(spark, lambda t: chunks.pack(T.sentences(t), 20, 5), MIXED) == ["Heat flows.", "Work is done!", "pi is 3.14 here;", "能量守恒。熵增加？"]
+    body = "word " * 60
+    df = spark.createDataFrame([(1, f"lost\n# A\n{body}.\n## B\n{body}\n## References\n{body}")], "doc_id long, text string")
+    got = [(r["full_path"], r["level"]) for r in chunks.markdown_sections(df).orderBy("section_no").collect()]
+    assert got == [("A", 1), ("A > B", 2)]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Heat transfer raises the fluid temperature. The fluid temperature controls heat loss.", (0.68, 1.0, 0.5859, 0.0235, 0.7958)),
+        ("aaaaaa mail x@y.com http://z.io!", (0.296, 0.0, 0.67, 0.9375, 0.2688)),
+        (" ", (0.0, 0.0, 0.0, 1.0, 0.0)),
+    ],
+)
+def test_quality(spark, text, want):
+    assert tuple(one(spark, Q.scores, text)) == want
+    if text.strip():
+        assert [round(one(spark, f, text), 4) for f in (Q.readability, Q.coherence, Q.density, Q.noise)] == list(want[:4])
+
+
+def test_greedy_choice(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (4, 6), (5, 6), (6, 7)], "a long, b long")
+    got = dedup.first_independent(spark.range(1, 9), edges).collect()
+    assert sorted(r["id"] for r in got) == [1, 3, 4, 5, 7, 8]
+
+
+def test_records(spark):
+    text = "Q: what?\nnoise\nA: this\nmore\n问题: 二\n答案: 乙\nQ: dangling"
+    assert [tuple(r) for r in one(spark, lambda t: records.pairs_of(T.lines(t)), text)] == [("what?", "this\nmore"), ("二", "乙")]
+    assert one(spark, records.record_format, '{"messages":null,"question":"q","answer":"a"}') == "messages"
+    assert one(spark, records.dataset_format, '{"text":"x"}') == "text"
+    for n, want in ((9, (0, 0, 9)), (10, (1, 1, 8)), (57, (5, 5, 47))):
+        got = {r["split"]: r["count"] for r in records.split(spark.range(n).toDF("doc_id"), 0.1, 0.1).groupBy("split").count().collect()}
+        assert tuple(got.get(k, 0) for k in ("test", "val", "train")) == want
+    df = spark.createDataFrame([(i, "x" * i) for i in (1, 2, 3, 4)], "doc_id long, text string")
+    assert records.analyse(df).head()["median_length"] == 3
+    assert records.generate(df, F.col("text"), lambda p: [x.upper() for x in p]).orderBy("doc_id").head()["reply"] == "X"
+    assert one(spark, records.pdf_date, "D:20240131235959+08'00'") == "2024-01-31T23:59:59"
+
+
+def test_sources_and_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.TXT").write_bytes("热".encode("gbk"))
+    (tmp_path / "in/b.txt").write_text("same")
+    (tmp_path / "in/c.md").write_text("same")
+    (tmp_path / "in/d.docx").write_bytes(b"broken")
+    found = files.scan(spark, str(tmp_path / "in"))
+    got = {r["path"].split("/")[-1]: (r["text"], r["error"] is None) for r in files.extract(found).collect()}
+    assert got["a.TXT"] == ("热", True) and got["b.txt"] == ("same", True) and got["d.docx"] == (None, False)
+    indexed = files.index(found)
+    assert files.duplicate_groups(indexed).head()["n"] == 2
+    assert {r["status"] for r in files.against_index(indexed, indexed).collect()} == {"known"}
+    (tmp_path / "rows").mkdir()
+    (tmp_path / "rows/1.json").write_text("".join(json.dumps({"text": "<p>" + "good " * n}) + "\n" for n in (5, 50)) + "{bad\n")
+    rows = files.json_lines(spark, str(tmp_path / "rows"), "text string")
+    assert rows.where("_corrupt is not null").count() == 1
+    for _ in range(2):
+        ingest.clean_new_files(spark, str(tmp_path / "rows"), str(tmp_path / "out"), str(tmp_path / "state"), "text string").awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_entry(spark):
+    import __spark_entry__ as e
+
+    assert e.entry(spark).count() > 0
+    assert e.oracle_sql().keys() <= e.queries().keys()
