@@ -24,8 +24,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the low-discrepancy schedule takes, stored in its order."""
-    return mixing.mixed(docs)
+    """All documents, stored in the order of the low-discrepancy schedule and of what it leaves."""
+    return mixing.mixed(docs, whole=True)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ and is the r-th slot of that source.  Each source is shuffled by a hash of its i
 into blocks of equal tokens; the r-th slot takes the r-th block.  Without weights a source
 weighs as the square root of its tokens.  The schedule ends when a source has no block for
 its next round: at min(blocks / weight) slots.  So every prefix keeps the weights, and no
-document comes twice.
+document comes twice.  With *whole* the blocks left then get the slots after it, the n-th left of a
+source at time (n - 1/2) / weight: sources run dry one by one, and the rest keep their weights to each other.
 
 A token is a piece between spaces or line ends.  Defined cases: a null or empty text has no
 tokens and stays with its neighbours' block; a null source is the source ''; a null id is left out; repeated rows
 of an id are one document (its source and its most tokens); sources without tokens or
-weight are left out; ties of the hash go by id; an empty table gives an empty schedule.
+weight are left out (with *whole* and no weights given, those without tokens come last); ties of the hash and of times go by id and source; an empty table gives an empty schedule.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ def tokens(text: Column) -> Column:
     return F.when(F.coalesce(size, F.lit(0)) == 0, F.lit(0)).otherwise(gaps + 1).cast("long")
 
 
-def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, slot, block, n_tokens, start_token) of the documents that the schedule takes; within a slot they go by start_token."""
+def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", whole: bool = False) -> DataFrame:
+    """(doc_id, source, slot, block, n_tokens, start_token) of the documents that the schedule takes, or of all (*whole*); within a slot they go by start_token."""
     spark = docs.sparkSession
     mix_hash = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 15), 16, 10).cast("long")
     sized = (
@@ -69,9 +70,28 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_tok
     ranked = running_sum(points, ["source"], "bucket", ["slot"], "one", "block").select("source", "slot", "block")
     placed = running_sum(sized.withColumn("bucket", F.shiftright("h", 60 - bits) if bits else F.lit(0).cast("long")), ["source"], "bucket", ["h", "doc_id"], "n_tokens", "start_token")
     placed = placed.withColumn("block", F.expr(f"start_token div {block_tokens}"))
+    if whole:
+        ranked = cut(ranked, "ranked")
+        ranked = ranked.unionByName(_left(placed.select("source", "block").distinct(), ranked, weight, slots, keep_rest=weights is None))
     return placed.join(ranked, ["source", "block"]).select("doc_id", "source", "slot", "block", "n_tokens", "start_token")
 
 
+def _left(blocks: DataFrame, ranked: DataFrame, weight: dict[str, float], slots: int, keep_rest: bool) -> DataFrame:
+    """(source, slot, block) of the blocks without a slot in *ranked*, from *slots* + 1 on."""
+    spark = blocks.sparkSession
+    weighed = spark.createDataFrame(list(weight.items()), "source string, w double").coalesce(1)
+    used = ranked.groupBy("source").agg((F.max("block") + 1).alias("used"))
+    left = blocks.join(F.broadcast(weighed), "source", "left" if keep_rest else "inner").join(F.broadcast(used), "source", "left")
+    left = left.withColumn("n", F.col("block") - F.coalesce("used", F.lit(0))).where("n >= 0")
+    left = cut(left.select("source", "block", ((F.col("n") + 0.5) / F.col("w")).alias("time")), "left")
+    end = left.agg(F.max("time")).head()[0] or 1.0
+    at = F.coalesce("time", F.lit(2 * end))  # sources without tokens
+    pieces = max(1, -(-left.count() // PREFIX_ROWS))
+    left = left.select("source", "block", at.alias("time"), F.least(F.floor(at / end * pieces), F.lit(pieces)).cast("long").alias("bucket"), F.lit(1).cast("long").alias("one"), F.lit(0).alias("all"))
+    placed = running_sum(left, ["all"], "bucket", ["time", "source", "block"], "one", "before")
+    return placed.select("source", (F.col("before") + slots + 1).alias("slot"), "block")
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", files: int = 0, **options) -> DataFrame:
     """The documents that the schedule takes, with the columns of *docs*, in the schedule's order (by partitions, and within each)."""
     taken = cut(schedule(docs, id_col=id_col, **options).select(F.col("doc_id").alias("__taken"), F.col("slot").alias("__slot"), F.col("start_token").alias("__start")), "mix")

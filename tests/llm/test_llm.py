@@ -173,6 +173,28 @@ def test_mixing_keeps_weights(spark):
     assert abs(total["hot"] / sum(total.values()) - 0.7) < 0.02
 
 
+def test_whole_mixing_drops_nothing(spark):
+    rows = [(i, "w " * 30, "abc"[i % 3]) for i in range(900)] + [(900, "one w", "scarce"), (901, "x y", None), (902, "", "empty"), (903, "w " * 900, "long")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    taken = mixing.schedule(df, block_tokens=100).collect()
+    assert len(taken) < 0.9 * len(rows)
+    got = mixing.schedule(df, block_tokens=100, whole=True).collect()
+    assert sorted(x["doc_id"] for x in got) == list(range(904)) and set(taken) <= set(got)
+    slots = {}
+    for x in got:
+        assert slots.setdefault(x["slot"], (x["source"], x["block"])) == (x["source"], x["block"])
+    for s in "abc":  # blocks in order, and each source has a third of what the schedule leaves
+        blocks = [b for _, (z, b) in sorted(slots.items()) if z == s]
+        assert blocks == sorted(blocks) and len(blocks) == len(set(blocks))
+    last = max(x["slot"] for x in taken)
+    rest = [z for k, (z, _) in sorted(slots.items()) if k > last][:48]
+    assert len(rest) == 48 and all(abs(rest.count(s) - 16) <= 2 for s in "abc")
+    assert {x["doc_id"] for x in mixing.mixed(df, block_tokens=100, whole=True).collect()} == set(range(904))
+    weighed = mixing.schedule(df, {"a": 0.5, "scarce": 0.5}, block_tokens=100, whole=True).collect()
+    assert {x["doc_id"] for x in weighed} == {x[0] for x in rows if x[2] in ("a", "scarce")}
+    assert mixing.schedule(df.limit(0), whole=True).count() == 0
+
+
 def test_sharding(spark, docs):
     got = sorted(sharding.shards(docs, 1000).collect(), key=lambda x: (x["doc_id"] is not None, x["doc_id"] or 0, x["n_bytes"]))
     start, total = 0, sum(x["n_bytes"] for x in got)
