@@ -5,7 +5,8 @@ documents.  A rare line (in at most ``rare`` documents) pairs all documents that
 more frequent one pairs each with the first document that has it, so that what it shares
 with an earlier document is still found while pairs stay linear.  Each pair is aligned
 with patience diff, and aligned common blocks of ``min_block`` characters or more (or the whole of the later
-text) are deleted from the later document, the one with the larger id.  All pairs align original texts.
+text) are deleted from the later document, the one with the larger id.  So are the runs of that size that
+the alignment leaves, as they come twice or in another order.  All pairs align original texts.
 
 Defined cases: a null text has no lines and stays null; a text of which all is deleted becomes ''; null ids keep their
 text; rows of one id are one document for pairing (the first by hash) and get their
@@ -81,13 +82,67 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return [tuple(x) for x in blocks]
 
 
+def longest_runs(a: list[int], b: list[int]) -> list[int]:
+    """For each line of b, the length of the longest run up to it that a has too (by a suffix automaton of a, in linear time)."""
+    follow: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
+    for x in a:
+        new = len(follow)
+        follow.append({})
+        link.append(0)
+        length.append(length[last] + 1)
+        p = last
+        while p >= 0 and x not in follow[p]:
+            follow[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = follow[p][x]
+            if length[q] != length[p] + 1:
+                copy = len(follow)
+                follow.append(dict(follow[q]))
+                link.append(link[q])
+                length.append(length[p] + 1)
+                while p >= 0 and follow[p].get(x) == q:
+                    follow[p][x] = copy
+                    p = link[p]
+                link[q] = copy
+                q = copy
+            link[new] = q
+        last = new
+    out, at, n = [], 0, 0
+    for x in b:
+        while at and x not in follow[at]:
+            at = link[at]
+            n = length[at]
+        if x in follow[at]:
+            at, n = follow[at][x], n + 1
+        out.append(n)
+    return out
+
+
 def deleted(a: list[int], b: list[int], chars: list[int], min_block: int) -> list[int]:
-    """Lines of b that go, for blocks aligned with a."""
-    out: list[int] = []
+    """Lines of b that go, for blocks aligned with a and for runs that a has elsewhere."""
+    out: set[int] = set()
     for _, j, n in patience(a, b):
         if n == len(b) or sum(chars[j : j + n]) >= min_block:
-            out.extend(range(j, j + n))
-    return out
+            out.update(range(j, j + n))
+    known, start, open_run = set(a), 0, False
+    for j in range(len(b) + 1):  # is there a stretch of a's lines that may hold more?
+        if j == len(b) or b[j] not in known:
+            if j > start and not out.issuperset(range(start, j)) and (j - start == len(b) or sum(chars[start:j]) >= min_block):
+                open_run = True
+                break
+            start = j + 1
+    if open_run:
+        below = [0]
+        for c in chars:
+            below.append(below[-1] + c)
+        low = len(b)
+        for j, n in reversed(list(enumerate(longest_runs(a, b)))):
+            if n and (n == len(b) or below[j + 1] - below[j + 1 - n] >= min_block):
+                out.update(range(j + 1 - n, min(j + 1, low)))
+                low = min(low, j + 1 - n)
+    return sorted(out)
 
 
 def _align_batches(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa.RecordBatch]:

@@ -271,6 +271,12 @@ def test_lines(spark, docs, texts):
     assert lines.without_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_deleted_passages_that_come_twice():
+    assert lines.deleted([9, 1, 2, 8, 1, 2, 7], [5, 1, 2, 6], [5, 50, 50, 5], 80) == [1, 2]
+    assert lines.deleted([9, 1, 2, 7], [5, 1, 2, 6, 1, 2, 4], [5, 50, 50, 5, 50, 50, 5], 80) == [1, 2, 4, 5]
+    assert lines.deleted([1, 2, 3, 4], [3, 4, 9, 1, 2], [50] * 5, 80) == [0, 1, 3, 4]
+
+
 def test_patience_blocks():
     assert lines.patience([1, 2, 3, 4], [9, 2, 3, 8]) == [(1, 1, 2)]
     assert lines.patience([1, 1, 2], [1, 1, 2]) == [(0, 0, 3)]
