@@ -1,12 +1,16 @@
 """Line dedup by pairwise alignment.
 
-A line counts by the hash of its trimmed text; one of ``min_chars`` characters or more may pair
-documents.  A rare line (in at most ``rare`` documents) pairs all documents that have it; a
-more frequent one pairs each with the first document that has it, so that what it shares
-with an earlier document is still found while pairs stay linear.  Each pair is aligned
-with patience diff, and aligned common blocks of ``min_block`` characters or more (or the whole of the later
-text) are deleted from the later document, the one with the larger id.  So are the runs of that size that
-the alignment leaves, as they come twice or in another order.  All pairs align original texts.
+A line counts by the hash of its trimmed text.  Keys pair documents: lines of ``min_chars`` characters
+or more, and the shortest runs of lines from each line on and up to each line that have ``min_block``
+characters, whatever their lines.  A rare key (in at most ``rare`` documents) pairs all documents that
+have it; a more frequent one pairs each with the first document that has it, so pairs stay linear.
+No block is lost by that: each line of a shared block of ``min_block`` characters is in such a run within the
+block (from the line on or, near the end, up to the block's end), and the run's first holder is earlier too.
+
+Each pair is aligned with patience diff, and aligned common blocks of ``min_block`` characters or more (or the
+whole of the later text) are deleted from the later document, the one with the larger id.  So are the runs of
+that size that the alignment leaves, as they come twice or in another order.  All pairs align original texts.
+A later text under ``min_block`` characters in all pairs by single lines only.
 
 Defined cases: a null text has no lines and stays null; a text of which all is deleted becomes ''; null ids keep their
 text; rows of one id are one document for pairing (the first by hash) and get their
@@ -24,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, fitted
+from .tokens import _const, _powers, mix
 
 MIN_CHARS = 20
 RARE = 8
@@ -154,22 +159,46 @@ def _align_batches(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterato
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.int32()))], ["b", "gone"])
 
 
-def line_arrays(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, h, n, keys): hashes and characters of the lines, and the distinct hashes that may pair."""
+def run_keys(h: np.ndarray, n: np.ndarray, off: np.ndarray, min_chars: int, min_block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key), once each: lines of *min_chars* characters, and the shortest runs of *min_block* from each line on and up to each line."""
+    size = len(h)
+    below = np.concatenate([[0], np.cumsum(n)])
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    at = np.arange(size)
+    end = np.searchsorted(below, below[:-1] + min_block, "left")
+    start = np.searchsorted(below, below[1:] - min_block, "right") - 1
+    on, to, one = end <= off[row + 1], start >= off[row], n >= min_chars
+    s = np.concatenate([at[on], start[to], at[one]])
+    e = np.concatenate([end[on], at[to] + 1, at[one] + 1])
+    power, inverse = _const(f"lines{size.bit_length()}", lambda: _powers(1 << size.bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:size], dtype=np.uint64)])
+    k = mix((sums[e] - sums[s]) * inverse[s])
+    r = row[s]
+    order = np.lexsort((k, r))
+    r, k = r[order], k[order]
+    first = np.ones(len(r), bool)
+    first[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1])
+    return r[first], k[first]
+
+
+def _key_batches(batches: Iterator[pa.RecordBatch], min_chars: int, min_block: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, h, n = batch.column(0), batch.column(1), batch.column(2)
+        off = h.offsets.to_numpy().astype(np.int64)
+        r, k = run_keys(h.flatten().to_numpy(zero_copy_only=False).view(np.uint64), n.flatten().to_numpy(zero_copy_only=False).astype(np.int64), off - off[0], min_chars, min_block)
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(r)), pa.array(k.view(np.int64))], ["id", "k"])
+
+
+def line_arrays(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, th, h, n): hashes and characters of the lines."""
     lines = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.transform(F.split(F.col(text_col), "\n", -1), lambda x: F.trim(x)).alias("lines")).where("id is not null and lines is not null")
-    rows = lines.select(
-        "id",
-        "th",
-        F.transform("lines", lambda x: F.xxhash64(x)).alias("h"),
-        F.transform("lines", lambda x: F.length(x)).alias("n"),
-        F.array_distinct(F.transform(F.filter("lines", lambda x: F.length(x) >= min_chars), lambda x: F.xxhash64(x))).alias("keys"),
-    )
-    return rows
+    return lines.select("id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), F.transform("lines", lambda x: F.length(x)).alias("n"))
 
 
-def line_pairs(arrays: DataFrame, rare: int = RARE) -> DataFrame:
+def line_pairs(arrays: DataFrame, min_chars: int = MIN_CHARS, rare: int = RARE, min_block: int = MIN_BLOCK) -> DataFrame:
     """(a, b), a < b: documents to align."""
-    keys = arrays.select("id", F.explode("keys").alias("k"))
+    keys = arrays.select("id", "h", "n").mapInArrow(partial(_key_batches, min_chars=min_chars, min_block=min_block), "id long, k long")
+    keys = cut(keys, "keys")
     stats = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
     held = cut(keys.join(stats, "k"), "held")
     hot = held.where(f"n > {rare} and id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
@@ -180,10 +209,10 @@ def line_pairs(arrays: DataFrame, rare: int = RARE) -> DataFrame:
 
 def deletions(docs: DataFrame, min_chars: int = MIN_CHARS, rare: int = RARE, min_block: int = MIN_BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, gone): the line numbers (from 0) that go from each document that loses any."""
-    arrays = cut(line_arrays(docs, min_chars, id_col, text_col), "lines")
-    arrays = arrays.groupBy("id").agg(F.min(F.struct("th", "h", "n", "keys")).alias("x")).select("id", "x.*")
+    arrays = cut(line_arrays(docs, id_col, text_col), "lines")
+    arrays = arrays.groupBy("id").agg(F.min(F.struct("th", "h", "n")).alias("x")).select("id", "x.*")
     arrays = cut(arrays, "arrays")
-    pairs = line_pairs(arrays.select("id", "keys"), rare)
+    pairs = line_pairs(arrays, min_chars, rare, min_block)
     one = arrays.select(F.col("id").alias("a"), F.col("h").alias("ha"))
     other = arrays.select(F.col("id").alias("b"), F.col("h").alias("hb"), "n")
     rows = pairs.join(other, "b").join(one, "a").select("b", "ha", "hb", "n")

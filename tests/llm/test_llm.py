@@ -271,6 +271,33 @@ def test_lines(spark, docs, texts):
     assert lines.without_repeated_lines(docs.limit(0)).count() == 0
 
 
+def _shared_lines(by, min_block=80):
+    """Lines of each document in a run of *min_block* characters that any earlier one has, by comparing all pairs."""
+    gone = {}
+    for a, b in itertools.combinations(sorted(by), 2):
+        x, y = by[a], by[b]
+        for i, j in itertools.product(range(len(x)), range(len(y))):
+            n = 0
+            while i + n < len(x) and j + n < len(y) and x[i + n] == y[j + n]:
+                n += 1
+            if n and (n == len(y) or sum(map(len, y[j : j + n])) >= min_block):
+                gone.setdefault(b, set()).update(range(j, j + n))
+    return gone
+
+
+def test_lines_find_all_shared_runs(spark):
+    r = random.Random(8)
+    short = ["abc def", "ghi", "", "jk lm no pq", "rst uvw"]  # none of them pairs documents
+    hot = [f"{c} " + c * 45 for c in "pqrst"]
+    by = {i: [x for _ in range(8) for x in (r.choice(hot), r.choice(short))] + [f"own line {i} " + "z" * r.randint(0, 90)] for i in range(60)}
+    by |= {60: [hot[0], "x60", hot[1], "y60"], 61: ["u61", hot[0], hot[1], "v61"], 100: ["own", *short * 4, "end"], 101: ["other", *short * 4, "last"]}
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in by.items()], "doc_id long, text string").repartition(3)
+    want = _shared_lines(by)
+    assert set(range(1, 21)) <= want[101]
+    got = {x["doc_id"]: x["text"] for x in lines.without_repeated_lines(df).collect()}
+    assert got == {i: "\n".join(x for k, x in enumerate(t) if k not in want.get(i, ())) for i, t in by.items()}
+
+
 def test_deleted_passages_that_come_twice():
     assert lines.deleted([9, 1, 2, 8, 1, 2, 7], [5, 1, 2, 6], [5, 50, 50, 5], 80) == [1, 2]
     assert lines.deleted([9, 1, 2, 7], [5, 1, 2, 6, 1, 2, 4], [5, 50, 50, 5, 50, 50, 5], 80) == [1, 2, 4, 5]
