@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, fitted
-from .tokens import rolling, slices, words
+from .tokens import OWN, rolling, slices, words
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -48,10 +48,12 @@ SHARD_BYTES = 16 << 20
 
 def question_answer(text: str) -> tuple[str, str]:
     """An item's question and answer: all but its last sentence or line, and that; halves if there is but one."""
-    parts = [p for p in re.split(r"(?<=[.!?。！？])\s+|\n+", text) if p.strip()]
-    if len(parts) > 1 and len(parts[-1].split()) > 3 and sum(len(p.split()) for p in parts[:-1]) > 3:
+    own = "".join(f"{chr(a)}-{chr(b)}" for a, b in OWN)
+    pieces = lambda p: re.findall(f"[{own}]|[^\\s{own}]+", p)
+    parts = [p for p in re.split(r"(?<=[.!?])\s+|(?<=[。！？])\s*|\n+", text) if p.strip()]
+    if len(parts) > 1 and len(pieces(parts[-1])) > 3 and sum(len(pieces(p)) for p in parts[:-1]) > 3:
         return "\n".join(parts[:-1]), parts[-1]
-    w = text.split()
+    w = pieces(text)
     return " ".join(w[: len(w) // 2]), " ".join(w[len(w) // 2 :])
 
 

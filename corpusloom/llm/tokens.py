@@ -1,12 +1,14 @@
 """Words of whole Arrow columns as 64-bit hashes, without a Python loop over words.
 
-A word is a maximal run of ASCII letters, digits, underscores and non-ASCII bytes of
-the lower-cased text.  Work goes in pieces of bounded size, whatever a text's length.
+A word is a maximal run of letters, marks, digits and underscores of the lower-cased text (also of
+joiners, private and unassigned characters), but in scripts written without spaces (OWN) each
+letter, mark or digit is a word of its own.  Work goes in pieces of bounded size, whatever a text's length.
 """
 
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +29,44 @@ def _const(name: str, make):
     return kept[name]
 
 
-def _word_bytes() -> np.ndarray:
-    t = np.zeros(256, bool)
-    for a, b in ((48, 57), (65, 90), (95, 95), (97, 122), (128, 255)):
-        t[a : b + 1] = True
+#: Thai and Lao, Myanmar, Khmer, Han, kana and bopomofo.
+OWN = ((0xE01, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3041, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
+
+
+def _kinds() -> np.ndarray:
+    """By character: 0 between words, 1 in a word, 2 a word of its own."""
+    t = np.ones(0x110000, np.uint8)
+    for c in range(0x32000):
+        kind = unicodedata.category(chr(c))
+        t[c] = c in (0x5F, 0x200C, 0x200D) or not (kind[0] in "PSZ" or kind in ("Cc", "Cf"))
+    t[0xE0000:0xE01F0] = 0  # tags and variation selectors
+    for a, b in OWN:
+        t[a : b + 1] *= 2
+    t[0x2E80:0x2FE0] = 2  # radicals count as symbols
     return t
 
 
+def _byte_kinds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(is the byte in a word, does it go on with the word of the byte before), whatever the rows."""
+    table = _const("characters", _kinds)
+    kind = table[:256][buf]
+    for p in range(0, len(buf), PIECE):
+        lead = np.flatnonzero(buf[p : p + PIECE] >= 0xC0) + p
+        if not len(lead):
+            continue
+        more = lambda k: (buf[np.minimum(lead + k, len(buf) - 1)] & 0x3F).astype(np.int64)  # noqa: B023, E731
+        b = buf[lead].astype(np.int64)
+        two, three = b < 0xE0, b < 0xF0
+        code = np.where(two, (b & 0x1F) << 6 | more(1), np.where(three, (b & 0x0F) << 12 | more(1) << 6 | more(2), (b & 0x07) << 18 | more(1) << 12 | more(2) << 6 | more(3)))
+        k, size = table[np.minimum(code, 0x10FFFF)], np.where(two, 2, np.where(three, 3, 4))
+        for i in range(4):
+            has = size > i
+            kind[np.minimum(lead[has] + i, len(buf) - 1)] = k[has]
+    joins = np.zeros(len(buf), bool)
+    joins[1:] = (kind[1:] == 1) & (kind[:-1] == 1) | (kind[1:] > 0) & ((buf[1:] & 0xC0) == 0x80)
+    return kind > 0, joins
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse mod 2**64."""
     inverse = pow(_P, -1, 1 << 64)
@@ -79,29 +112,24 @@ def words(arr: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np
     n = len(buf)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    isw = _const("word", _word_bytes)
-    first = np.zeros(n + 1, bool)
-    first[off] = True
+    inside, joins = _byte_kinds(buf)
+    joins[off[off < n]] = False
     hashes, lengths, places, p = [], [], [], 0
     while p < n:
         q = min(n, p + PIECE)
         if q < n:  # cut where no word is cut
-            w = isw[buf[p:q]]
-            ok = np.flatnonzero(~w | first[p + 1 : q + 1])
+            ok = np.flatnonzero(~joins[p + 1 : q + 1])
             if len(ok):  # so that what follows begins a word or stands between two
                 q = p + int(ok[-1]) + 1
             else:
-                more = np.flatnonzero(~isw[buf[q:]] | first[q:n])
+                more = np.flatnonzero(~joins[q:])
                 q = min(q + int(more[0]) if len(more) else n, p + LONGEST)
         part = buf[p:q]
-        w = isw[part]
-        before = np.empty(len(w), bool)
-        before[0], before[1:] = False, w[:-1]
-        starts = np.flatnonzero(w & (~before | first[p:q]))
+        w, goes_on = inside[p:q], joins[p:q].copy()
+        goes_on[0] = False
+        starts = np.flatnonzero(w & ~goes_on)
         if len(starts):
-            after = np.empty(len(w), bool)
-            after[-1], after[:-1] = False, w[1:]
-            ends = np.flatnonzero(w & (~after | first[p + 1 : q + 1])) + 1
+            ends = np.flatnonzero(w & ~np.append(goes_on[1:], False)) + 1
             length = ends - starts
             size = 1 << max(18, (len(part) - 1).bit_length())
             power, inverse = _const(f"power{size}", lambda size=size: _powers(size))

@@ -60,6 +60,29 @@ def test_words_follow_the_definition(texts):
         assert len(_hashes(t)) == len(re.findall(r"[a-z0-9_\u0080-\U0010ffff]+", (t or "").lower()))
 
 
+def test_words_of_all_scripts():
+    assert len(_hashes("数据清洗，用于训练。")) == 8 and len(_hashes("ข้อมูล")) == 6 and len(_hashes("カタカナ・ひら")) == 6
+    assert _hashes("“x”\u00a0¿que naïve—x") == _hashes("x que naïve x") and _hashes("用abc训") == _hashes("用 abc 训")
+    t = ["", "é", "数", "ab数据cd é漢" * 40_000, "я и", "数"]
+    h, n, off = words(pa.array(t))
+    for k, x in enumerate(t):
+        one = re.findall("[数据漢]|[a-zéяи]+", x)
+        assert n[off[k] : off[k + 1]].tolist() == [len(w.encode()) for w in one]
+        assert h[off[k] : off[k + 1]][:7].tolist() == [_hashes(w)[0] for w in one[:7]]
+
+
+def test_chinese_copies_leaks_and_repeats(spark):
+    r = random.Random(6)
+    text = lambda n: "".join(chr(r.randrange(0x4E00, 0x5E00)) + ("，" if i % 15 == 14 else "") for i in range(n))
+    a, passage, item = text(400), text(70), text(15) + "？" + text(15) + "。"
+    rows = [(0, a), (1, a[:200] + "改" + a[201:]), (2, text(200) + passage + text(90)), (3, text(90) + passage + text(200)), (4, text(100) + item + text(100)), (5, text(300))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [x["doc_ids"] for x in simhash.near_groups(df).collect()] == [[0, 1]]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [(x["doc_id"], x["item_id"]) for x in decontam.leaks(df, items).collect()] == [(4, 1)]
+    assert {x[0] for x in suffixes.repeats(df).collect()} == {0, 1, 2, 3}
+
+
 def test_simhash_pairs_and_groups(spark, docs, texts):
     ids = [i for i, t in texts.items() if _hashes(t)]
     a, b, _ = simhash.fingerprints(pa.array([texts[i] for i in ids]))
