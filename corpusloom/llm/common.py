@@ -41,11 +41,13 @@ def cut(df: DataFrame, tag: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fitted(small: DataFrame, row_bytes: int) -> DataFrame:
-    """*small* (a cut table) with a join hint: broadcast if its counted size allows, else shuffled hash."""
-    if small.count() * row_bytes <= BROADCAST_BYTES:
-        return F.broadcast(small)
-    return small.hint("shuffle_hash")
+def fitted(small: DataFrame, row_bytes: int, lists: tuple[str, ...] = ()) -> DataFrame:
+    """*small* (a cut table) with a broadcast hint if its rows, of *row_bytes* and the elements (8 bytes) of *lists*, measure little enough; otherwise as it is, for a join that sorts and spills."""
+    each = F.lit(row_bytes)
+    for c in lists:
+        each = each + 8 * F.coalesce(F.size(c), F.lit(0))
+    size = small.agg(F.sum(each).alias("b")).head()["b"] if lists else small.count() * row_bytes
+    return F.broadcast(small) if (size or 0) <= BROADCAST_BYTES else small
 
 
 def running_sum(df: DataFrame, group: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:

@@ -5,15 +5,22 @@ the text's start), where a pair of 7 bytes or more weighs double.  Two documents
 bits.  The search is exact.  Among whole fingerprints distances concentrate so much that
 triangle bounds prune nothing, hence the bits are dealt to blocks: of two fingerprints
 within the radius, at least one block differs in ``radius // blocks`` bits or fewer.
-Every block has its own vantage-point tree.  Its top levels (vantage values and median
-distances, a fixed few) name the shards; a fingerprint lives in one shard and visits the
-shards that its ball overlaps, only those before its own, since overlap is mutual.  In
-a shard the values of the block are joined through a local tree, each level of which
-measures distances over bits of its own, so that triangle bounds add up; what is found is compared in all 128 bits.
+
+Every block has vantage-point trees, of one kind for shards and for the search inside one.  A node takes one of
+its own points as vantage point and splits its points at the median distance to it.  Distances are measured in the first
+few bits (GROUP) in which the node's points still differ.  By the triangle inequality a query at distance d from the vantage point
+is at least ``d - median`` bits from what lies inside, or ``median + 1 - d`` from what lies outside; bounds in different bits
+add up along a branch, and it is pruned when they exceed the radius.
+
+The tree over a sample (whose size follows the number of shards) names the shards: a fingerprint lives in the leaf it falls into
+and visits the leaves that its ball overlaps, only those before its own, since overlap is mutual.  A leaf of one value that holds
+too many rows is dealt to parts by id, which are visited likewise.  In a shard, the rows that share a value of the block and lie within half the radius
+of one of them are a ball: the triangle inequality makes them copies of each other without comparing pairs,
+and two balls whose centres are near are linked by one edge.  What the tree finds is compared in all 128 bits.
 
 Defined cases: a null or empty text, or one without words, has no fingerprint and is
 nobody's copy; rows of one doc_id are one document (the first text by hash counts); a
-null doc_id is left out; ties keep the smallest doc_id; an empty table gives no groups.
+null doc_id is left out (``drop_near_copies`` keeps its rows); ties keep the smallest doc_id; an empty table gives no groups.
 """
 
 from __future__ import annotations
@@ -31,13 +38,17 @@ from .tokens import mix, slices, words
 
 BITS = 128
 RADIUS = 23
-BLOCKS = 8
-#: Fingerprints that one shard holds, about; with fewer the trees have LEVELS top levels.
-SHARD_ROWS = 4_000_000
-LEVELS = 3
+#: Of so many fingerprints or fewer, so many blocks: more fingerprints take wider ones, which compare fewer pairs.  The pairs found are the same.
+BLOCKS = ((1 << 24, 8), (1 << 62, 6))
+#: Fingerprints that live in one shard, about; those that visit it are some times as many.
+SHARD_ROWS = 500_000
+#: Sampled values for each shard.
+SAMPLE = 64
 LEAF = 8
-#: Bits of a level of a shard's tree.
+#: Bits in which a node measures its distances.
 GROUP = 2
+#: Rows of one value from which on balls are looked for, and of which a ball is made.
+CELL, BALL = 64, 16
 _SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 
 
@@ -90,158 +101,272 @@ def block_values(h: np.ndarray, blocks: int) -> np.ndarray:
     return out
 
 
-def top_tree(sample: np.ndarray, levels: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Vantage values and median distances of the inner nodes (heap order) over sampled values.
+class Level:
+    """The nodes of one level of a tree: a leaf has no children."""
 
-    The sample shapes the balance of the shards only; any vantage points give the same pairs.
-    """
-    rng = np.random.default_rng(seed)
-    vantage, mu = np.zeros(2**levels - 1, np.uint64), np.zeros(2**levels - 1, np.int64)
-    inside = {0: sample}
-    for node in range(len(mu)):
-        s = inside.pop(node)
-        v = s[rng.integers(len(s))] if len(s) else (sample[0] if len(sample) else np.uint64(0))
-        d = np.bitwise_count(s ^ v).astype(np.int64)
-        vantage[node], mu[node] = v, int(np.median(d)) if len(s) else 0
-        inside[2 * node + 1], inside[2 * node + 2] = s[d <= mu[node]], s[d > mu[node]]
-    return vantage, mu
-
-
-def shard_visits(v: np.ndarray, tree: tuple[np.ndarray, np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, shard, at home) for each shard that a row's ball may reach, none beyond its home."""
-    vantage, mu = tree
-    row, node, home = np.arange(len(v)), np.zeros(len(v), np.int64), np.ones(len(v), bool)
-    while len(mu) and len(node) and node[0] < len(mu):
-        d = np.bitwise_count(v[row] ^ vantage[node]).astype(np.int64)
-        left, right = d - radius <= mu[node], d + radius > mu[node]
-        inner = d <= mu[node]
-        row, node, home = (
-            np.concatenate([row[left], row[right]]),
-            np.concatenate([2 * node[left] + 1, 2 * node[right] + 2]),
-            np.concatenate([(home & inner)[left], (home & ~inner)[right]]),
-        )
-    at = np.zeros(len(v), np.int64)
-    at[row[home]] = node[home]
-    keep = node <= at[row]
-    return row[keep], node[keep] - len(mu), home[keep]
-
-
-def _visit_batches(batches: Iterator[pa.RecordBatch], trees: list, radius: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        h = np.stack([batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (1, 2)], axis=1)
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        values = block_values(h, len(trees))
-        shards = len(trees[0][1]) + 1
-        for k, tree in enumerate(trees):
-            row, shard, home = shard_visits(values[k], tree, radius)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((k * shards + shard).astype(np.int32)), pa.array(home), pa.array(ids[row]), pa.array(h[row, 0].view(np.int64)), pa.array(h[row, 1].view(np.int64))],
-                ["shard", "home", "id", "h0", "h1"],
-            )
+    def __init__(self, first: np.ndarray, last: np.ndarray) -> None:
+        n = len(first)
+        self.first, self.last = first, last
+        self.vantage, self.mask, self.mu = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.int8)
+        self.child = np.full((n, 2), -1, np.int64)
+        self.low, self.high = np.zeros((n, 2), np.int8), np.full((n, 2), GROUP, np.int8)
+        self.fresh = np.ones(n, bool)  # measures in other bits than the node above
+        self.number = np.full(n, -1, np.int64)
 
 
 class Tree:
-    """A vantage-point tree over distinct block values, as arrays by level.
+    """A vantage-point tree over block values, each node with a vantage point of its own and the median distance to it.
 
-    Level l measures the distance to the vantage point in GROUP bits of its own; the values of a node
-    at one distance are a child.  Distances over disjoint bits add up, so that a query may spend its
-    radius once on all levels together: what the triangle bound takes at one level is gone at the next.
+    Equal values stay together, so a leaf has *leaf* points at most, or one value.  *tight* keeps, for each
+    child, the range of its points' distances; without, whatever may come to lie there.
     """
 
-    def __init__(self, v: np.ndarray, seed: int = 5) -> None:
-        bits = max(1, int(v.max()).bit_length() if len(v) else 1)
-        self.vantage = np.uint64(np.random.default_rng(seed).integers(0, 1 << bits))
-        self.shifts = list(range(0, bits, GROUP))
-        digits = self.digits(v)
-        key = np.zeros(len(v), np.int64)
-        for d in digits:
-            key = key * (GROUP + 1) + d
-        self.order = np.argsort(key, kind="stable")
-        key = key[self.order]
-        self.first, self.last, self.child = [np.array([0])], [np.array([len(v)])], []
-        parent = np.zeros(len(v), np.int64)
-        for level in range(len(digits)):
-            prefix = key // (GROUP + 1) ** (len(digits) - level - 1)
-            begin = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1])) if len(v) else np.zeros(0, np.int64)
-            child = np.full((len(self.first[-1]), GROUP + 1), -1, np.int32)
-            child[parent[begin], prefix[begin] % (GROUP + 1)] = np.arange(len(begin))
-            self.child.append(child)
-            self.first.append(begin)
-            self.last.append(np.append(begin[1:], len(v)))
-            parent = np.repeat(np.arange(len(begin)), self.last[-1] - begin)
-
-    def digits(self, q: np.ndarray) -> list[np.ndarray]:
-        """Distances to the vantage point, level by level."""
-        mask = np.uint64((1 << GROUP) - 1)
-        return [np.bitwise_count(((q ^ self.vantage) >> np.uint64(k)) & mask).astype(np.int8) for k in self.shifts]
-
-
-def tree_join(q: np.ndarray, v: np.ndarray, radius: int, piece: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All (i, j) with q[i] and v[j] within *radius* bits; whole branches are pruned by triangle bounds.
-
-    Queries go down in pieces, and a piece that visits too many nodes is split, so that memory stays bounded.
-    """
-    tree = Tree(v)
-    digits = tree.digits(q)
-    todo = [(0, np.arange(len(q), dtype=np.int32), np.zeros(len(q), np.int32), np.full(len(q), radius, np.int8))]
-    while todo:
-        depth, query, node, left = todo.pop()
-        if len(query) > piece:
-            todo.extend((depth, query[a : a + piece], node[a : a + piece], left[a : a + piece]) for a in range(0, len(query), piece))
-            continue
-        first, size = tree.first[depth][node], (tree.last[depth] - tree.first[depth])[node]
-        leaf = (size <= LEAF) | (depth == len(digits))
-        ql, sl = query[leaf], size[leaf]
-        if len(ql):
-            qi = np.repeat(ql, sl)
-            vi = tree.order[np.repeat(first[leaf] - (np.cumsum(sl) - sl), sl) + np.arange(len(qi))]
-            near = np.bitwise_count(q[qi] ^ v[vi]) <= radius
-            yield qi[near], vi[near]
-        query, node, left = query[~leaf], node[~leaf], left[~leaf]
-        if len(query):
-            children, digit, parts = tree.child[depth][node], digits[depth][query], []
-            for k in range(GROUP + 1):
-                rest = left - np.abs(digit - np.int8(k))
-                go = (rest >= 0) & (children[:, k] >= 0)
-                parts.append((query[go], children[go, k], rest[go]))
+    def __init__(self, v: np.ndarray, leaf: int = LEAF, tight: bool = True, seed: int = 5) -> None:
+        rng = np.random.default_rng(seed)
+        self.order = np.arange(len(v))
+        self.levels: list[Level] = []
+        first, last, before = np.array([0]), np.array([len(v)]), np.zeros(1, np.uint64)
+        while len(first):
+            level = Level(first, last)
+            self.levels.append(level)
+            big = np.flatnonzero(last - first > leaf)
+            if not len(big):
+                break
+            n = last[big] - first[big]
+            begin = np.cumsum(n) - n
+            node = np.repeat(np.arange(len(big)), n)
+            at = np.repeat(first[big] - begin, n) + np.arange(len(node))
+            x = v[self.order[at]]
+            differ = np.bitwise_or.reduceat(x ^ x[begin][node], begin)
+            some = differ != 0
+            if not some.any():
+                break
+            keep = some[node]
+            big, n, x, at, differ = big[some], n[some], x[keep], at[keep], differ[some]
+            begin = np.cumsum(n) - n
+            node = np.repeat(np.arange(len(big)), n)
+            lowest = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)).astype(np.uint64)
+            mask = np.uint64((1 << GROUP) - 1) << (lowest // np.uint64(GROUP) * np.uint64(GROUP))
+            vantage = x[begin + (rng.random(len(big)) * n).astype(np.int64)]
+            d = np.bitwise_count((x ^ vantage[node]) & mask[node]).astype(np.int64)
+            count = np.bincount(node * (GROUP + 1) + d, minlength=len(big) * (GROUP + 1)).reshape(-1, GROUP + 1)
+            inside = np.cumsum(count, axis=1)[:, :-1]
+            mu = np.abs(2 * inside - n[:, None]).argmin(axis=1)  # the median, or what comes nearest to halves
+            size = inside[np.arange(len(big)), mu]
+            outer = (d > mu[node]).astype(np.int64)
+            self.order[at] = self.order[at][np.argsort(node * 2 + outer, kind="stable")]
+            level.vantage[big], level.mask[big], level.mu[big], level.fresh[big] = vantage, mask, mu, mask != before[big]
+            level.child[big] = np.arange(2 * len(big)).reshape(-1, 2)
+            level.high[big, 0], level.low[big, 1] = mu, mu + 1
+            if tight:
+                for side, there in ((0, np.arange(GROUP + 1) <= mu[:, None]), (1, np.arange(GROUP + 1) > mu[:, None])):
+                    there &= count > 0
+                    level.low[big, side], level.high[big, side] = there.argmax(axis=1), GROUP - there[:, ::-1].argmax(axis=1)
+            middle = first[big] + size
+            first, last = np.column_stack([first[big], middle]).ravel(), np.column_stack([middle, last[big]]).ravel()
+            before = np.repeat(mask, 2)
+        self.leaves = 0
+        for level in self.levels:
+            ends = level.child[:, 0] < 0
+            level.number[ends] = self.leaves + np.arange(ends.sum())
+            self.leaves += int(ends.sum())
+
+    def home(self, q: np.ndarray) -> np.ndarray:
+        """The number of the leaf that each value falls into."""
+        out, at, node = np.full(len(q), -1, np.int64), np.arange(len(q)), np.zeros(len(q), np.int64)
+        for level in self.levels:
+            end = level.child[node, 0] < 0
+            out[at[end]] = level.number[node[end]]
+            at, node = at[~end], node[~end]
+            outer = np.bitwise_count((q[at] ^ level.vantage[node]) & level.mask[node]) > level.mu[node]
+            node = level.child[node, outer.astype(np.int64)]
+        return out
+
+    def reach(self, q: np.ndarray, radius: int, piece: int = 200_000) -> Iterator[tuple[np.ndarray, Level, np.ndarray]]:
+        """(query, level, leaf of it): the leaves that balls of *radius* bits around the values may overlap.
+
+        Queries go down in pieces, and a piece that visits too many nodes is split, so that memory stays bounded.
+        """
+        n = len(q)
+        todo = [(0, np.arange(n), np.zeros(n, np.int64), np.full(n, radius, np.int8), np.zeros(n, np.int8))]
+        while todo:
+            depth, query, node, left, cost = todo.pop()
+            if len(query) > piece:
+                todo.extend((depth, *(x[a : a + piece] for x in (query, node, left, cost))) for a in range(0, len(query), piece))
+                continue
+            level = self.levels[depth]
+            end = level.child[node, 0] < 0
+            if end.any():
+                yield query[end], level, node[end]
+                query, node, left, cost = query[~end], node[~end], left[~end], cost[~end]
+            if not len(query):
+                continue
+            fresh = level.fresh[node]
+            left = np.where(fresh, left - cost, left)  # what other bits took is gone
+            cost = np.where(fresh, np.int8(0), cost)
+            d = np.bitwise_count((q[query] ^ level.vantage[node]) & level.mask[node]).astype(np.int8)
+            parts = []
+            for side in (0, 1):
+                c = np.maximum(cost, np.maximum(level.low[node, side] - d, d - level.high[node, side]))
+                go = c <= left
+                parts.append((query[go], level.child[node[go], side], left[go], c[go]))
             todo.append((depth + 1, *(np.concatenate(x) for x in zip(*parts))))
 
 
+class Shards:
+    """The shards of one block: leaves of a tree over sampled values, those of too many rows in parts."""
+
+    def __init__(self, sample: np.ndarray, rows: int, shards: int, shard_rows: int, seed: int) -> None:
+        self.tree = Tree(sample, max(1, 3 * len(sample) // (2 * shards)), tight=False, seed=seed)
+        size = np.bincount(self.tree.home(sample), minlength=self.tree.leaves) * (rows / max(1, len(sample)))
+        self.parts = np.maximum(1, np.ceil(size / (2 * shard_rows))).astype(np.int64) if len(sample) >= 2 * shards else np.ones(self.tree.leaves, np.int64)
+        self.base = np.cumsum(self.parts) - self.parts
+        self.count = int(self.parts.sum())
+
+    def visits(self, v: np.ndarray, ids: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, shard, at home) for each shard that a row's ball may reach, none beyond its home."""
+        home = self.tree.home(v)
+        part = mix(ids.view(np.uint64)) % self.parts[home].astype(np.uint64)
+        found = [(query, level.number[node]) for query, level, node in self.tree.reach(v, radius)]
+        row, leaf = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        keep = leaf <= home[row]
+        row, leaf = row[keep], leaf[keep]
+        own = leaf == home[row]
+        n = np.where(own, part[row].astype(np.int64) + 1, self.parts[leaf])
+        k = np.repeat(np.arange(len(row)), n)
+        p = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+        return row[k], self.base[leaf[k]] + p, own[k] & (p == part[row[k]].astype(np.int64))
+
+
+def _visit_batches(batches: Iterator[pa.RecordBatch], plans: list[Shards], radius: int) -> Iterator[pa.RecordBatch]:
+    most = max(p.count for p in plans)
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 20_000):
+            batch = whole.slice(lo, 20_000)
+            h = np.stack([batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (1, 2)], axis=1)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for k, (plan, values) in enumerate(zip(plans, block_values(h, len(plans)))):
+                row, shard, home = plan.visits(values, ids, radius)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((k * most + shard).astype(np.int64)), pa.array(home), pa.array(ids[row]), pa.array(h[row, 0].view(np.int64)), pa.array(h[row, 1].view(np.int64))],
+                    ["shard", "home", "id", "h0", "h1"],
+                )
+
+
+def products(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, step: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(k, i, j) for all i of the range of n_a[k] from a[k] on and j of that of n_b[k] from b[k] on, in pieces."""
+    size = n_a * n_b
+    ends = np.cumsum(size)
+    begins = ends - size
+    for lo in range(0, int(ends[-1]) if len(ends) else 0, step):
+        hi = min(int(ends[-1]), lo + step)
+        k = np.arange(np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi - 1, "right") + 1)
+        k = np.repeat(k, np.minimum(ends[k], hi) - np.maximum(begins[k], lo))
+        r = np.arange(lo, hi) - begins[k]
+        of_a = r // n_b[k]
+        yield k, a[k] + of_a, b[k] + r - of_a * n_b[k]
+
+
+def tree_join(q: np.ndarray, v: np.ndarray, radius: int, tree: Tree | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (i, j) with q[i] and v[j] within *radius* bits; whole branches are pruned by triangle bounds."""
+    tree = tree or Tree(v)
+    for query, level, node in tree.reach(q, radius):
+        for k, _, j in products(query, np.ones(len(query), np.int64), level.first[node], level.last[node] - level.first[node]):
+            i, j = query[k], tree.order[j]
+            near = np.flatnonzero(np.bitwise_count(q[i] ^ v[j]) <= radius)
+            yield i[near], j[near]
+
+
+class Prints:
+    """Fingerprints as two columns."""
+
+    def __init__(self, h: np.ndarray) -> None:
+        self.a, self.b = (np.ascontiguousarray(h[:, k]) for k in (0, 1))
+
+    def within(self, i: np.ndarray, j: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, distance) of the pairs at *most* bits apart."""
+        d = np.bitwise_count(self.a[i] ^ self.a[j])
+        near = np.flatnonzero(d <= most)
+        i, j, d = i[near], j[near], d[near].astype(np.int32)
+        d += np.bitwise_count(self.b[i] ^ self.b[j])
+        near = np.flatnonzero(d <= most)
+        return i[near], j[near], d[near]
+
+
+class Cells:
+    """Rows (or balls of rows) by block value: distinct values, and the range of each in *at*."""
+
+    def __init__(self, value: np.ndarray, at: np.ndarray) -> None:
+        self.values, of = np.unique(value[at], return_inverse=True)
+        self.at = at[np.argsort(of, kind="stable")]
+        self.n = np.bincount(of, minlength=len(self.values))
+        self.start = np.cumsum(self.n) - self.n
+
+
+def met(value: np.ndarray, rows: np.ndarray, live: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j), once each: the pairs of *rows* within *radius* bits of *value*, of which j is *live*."""
+    own, guests = Cells(value, rows[live[rows]]), Cells(value, rows[~live[rows]])
+    tree = Tree(own.values)
+    for q, mine in ((guests, False), (own, True)):
+        for qi, vi in tree_join(q.values, own.values, radius, tree):
+            if mine:
+                less = own.values[qi] < own.values[vi]
+                qi, vi = qi[less], vi[less]
+            for _, i, j in products(q.start[qi], q.n[qi], own.start[vi], own.n[vi]):
+                yield q.at[i], own.at[j]
+    for _, i, j in products(own.start, own.n, own.start, own.n):
+        below = i < j
+        yield own.at[i[below]], own.at[j[below]]
+
+
+def balls(value: np.ndarray, prints: Prints, radius: int, seed: int = 3) -> np.ndarray:
+    """For each row the row whose ball (of half the radius, among the rows of its value) it is in, or itself."""
+    rng, centre = np.random.default_rng(seed), np.arange(len(value))
+    cells = Cells(value, centre)
+    for k in np.flatnonzero(cells.n >= CELL).tolist():
+        rest = cells.at[cells.start[k] : cells.start[k] + cells.n[k]]
+        misses = 0
+        while len(rest) >= CELL and misses < 4:
+            c = rest[rng.integers(len(rest))]
+            inside, _, _ = prints.within(rest, np.full(len(rest), c), radius // 2)
+            if len(inside) >= BALL:
+                centre[inside] = c
+                rest = np.setdiff1d(rest, inside)
+            else:
+                misses += 1
+    return centre
+
+
 def shard_pairs(ids: np.ndarray, home: np.ndarray, h: np.ndarray, block: int, blocks: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(a, b, distance), a < b, for the pairs of a home row with any row of the shard within *radius*."""
-    value = block_values(h, blocks)[block]
-    everyone, of = np.unique(value, return_inverse=True)
-    lives = np.flatnonzero(home)
-    own, own_of = np.unique(value[lives], return_inverse=True)
-    by_any, by_own = np.argsort(of, kind="stable"), lives[np.argsort(own_of, kind="stable")]
-    n_any, n_own = np.bincount(of, minlength=len(everyone)), np.bincount(own_of, minlength=len(own))
-    s_any, s_own = np.cumsum(n_any) - n_any, np.cumsum(n_own) - n_own
-    one, other = (np.ascontiguousarray(h[by_any, k]) for k in (0, 1)), (np.ascontiguousarray(h[by_own, k]) for k in (0, 1))
-    (a0, a1), (b0, b1) = one, other
-    step = 1 << 18
-    for qi, vi in tree_join(everyone, own, radius // blocks):
-        wide = n_own[vi]
-        size = n_any[qi] * wide
-        ends = np.cumsum(size)
-        begins = ends - size
-        for lo in range(0, int(ends[-1]) if len(ends) else 0, step):  # in pieces, however many rows share a value
-            hi = min(int(ends[-1]), lo + step)
-            k = np.arange(np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi - 1, "right") + 1)
-            k = np.repeat(k, np.minimum(ends[k], hi) - np.maximum(begins[k], lo))
-            r = np.arange(lo, hi) - begins[k]
-            w = wide[k]
-            of_any = r // w
-            j = s_own[vi[k]] + r - of_any * w
-            i = s_any[qi[k]] + of_any
-            d = np.bitwise_count(a0[i] ^ b0[j])
-            near = np.flatnonzero(d <= radius)
-            i, j = i[near], j[near]
-            d = d[near].astype(np.int32) + np.bitwise_count(a1[i] ^ b1[j])
-            near = d <= radius
-            i, j, d = by_any[i[near]], by_own[j[near]], d[near]
-            keep = (ids[i] != ids[j]) & (~home[i] | (ids[i] < ids[j]))  # two that live here meet twice
-            i, j = i[keep], j[keep]
-            yield np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), d[keep]
+    prints = Prints(h)
+    for i, j in met(block_values(h, blocks)[block], np.arange(len(ids)), home, radius // blocks):
+        i, j, d = prints.within(i, j, radius)
+        yield np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), d
+
+
+def shard_edges(ids: np.ndarray, home: np.ndarray, h: np.ndarray, block: int, blocks: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b): near pairs that connect all that those of shard_pairs connect; a ball's members stand for each other."""
+    prints, rows, value = Prints(h), np.arange(len(ids)), block_values(h, blocks)[block]
+    centre = balls(value, prints, radius)
+    inner = np.flatnonzero(centre != rows)
+    yield ids[inner], ids[centre[inner]]
+    live = np.zeros(len(ids), bool)
+    live[centre[home]] = True  # a ball with a row that lives here, or such a row
+    wide = np.zeros(len(ids), np.int32)
+    members = Cells(centre, rows) if len(inner) else None
+    if members:
+        wide[members.values[members.n > 1]] = radius // 2
+    for i, j in met(value, np.flatnonzero(centre == rows), live, radius // blocks):
+        i, j, d = prints.within(i, j, radius + 2 * int(wide.max()))
+        near = d <= radius
+        yield ids[i[near]], ids[j[near]]
+        ring = ~near & (d <= radius + wide[i] + wide[j])  # what the triangle bound leaves open
+        if ring.any():
+            a, b = np.searchsorted(members.values, i[ring]), np.searchsorted(members.values, j[ring])
+            for _, x, y in products(members.start[a], members.n[a], members.start[b], members.n[b]):
+                x, y, _ = prints.within(members.at[x], members.at[y], radius)
+                yield ids[x], ids[y]
 
 
 class Forest:
@@ -270,20 +395,20 @@ class Forest:
         return [self.root(x) for x in below], below
 
 
-def _search_groups(key, t: pa.Table, blocks: int, shards: int, radius: int, forest: bool) -> pa.Table:
-    block = key[0].as_py() // shards
-    ids = t["id"].to_numpy()
+def _search_shard(key, t: pa.Table, blocks: int, most: int, radius: int, forest: bool) -> pa.Table:
+    block = key[0].as_py() // most
+    ids, home = t["id"].to_numpy(), t["home"].to_numpy()
     h = np.stack([t[c].to_numpy().view(np.uint64) for c in ("h0", "h1")], axis=1)
-    found = shard_pairs(ids, t["home"].to_numpy(), h, block, blocks, radius)
-    if forest:  # linear in the rows of the shard, however dense its groups
+    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int32())])
+    if forest:
         f = Forest()
-        for a, b, _ in found:
+        for a, b in shard_edges(ids, home, h, block, blocks, radius):
             for x, y in zip(a.tolist(), b.tolist()):
                 f.join(x, y)
         a, b = f.edges()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "distance": pa.nulls(len(a), pa.int32())})
-    parts = [pa.table({"a": a, "b": b, "distance": d.astype(np.int32)}) for a, b, d in found if len(a)]
-    return pa.concat_tables(parts) if parts else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "distance": pa.array([], pa.int32())})
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int32())], schema=kind)
+    parts = [pa.table([a, b, d.astype(np.int32)], schema=kind) for a, b, d in shard_pairs(ids, home, h, block, blocks, radius) if len(a)]
+    return pa.concat_tables(parts) if parts else kind.empty_table()
 
 
 def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,32 +418,36 @@ def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return prints.groupBy("id").agg(F.min(F.struct("h0", "h1")).alias("h")).select("id", "h.h0", "h.h1")
 
 
-def _search(prints: DataFrame, radius: int, blocks: int, forest: bool) -> tuple[DataFrame, DataFrame]:
-    """(identical: ids of each fingerprint by its first id, near: edges between first ids)."""
-    same = cut(prints.groupBy("h0", "h1").agg(F.min("id").alias("id"), F.collect_list("id").alias("ids")), "same")
+def _search(prints: DataFrame, radius: int, blocks: int | None, forest: bool, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(first id and copies of each fingerprint, near: edges between first ids)."""
+    spark = prints.sparkSession
+    same = cut(prints.groupBy("h0", "h1").agg(F.min("id").alias("id"), F.count("*").alias("n")), "same")
     n = same.count()
-    levels = max(LEVELS, int(np.ceil(np.log2(max(n, 1) * 4 / SHARD_ROWS))))
-    rows = same.select("h0", "h1").limit(4096).collect()  # shapes shards only, see top_tree
+    blocks = blocks or next(b for most, b in BLOCKS if n <= most)
+    shards = max(-(-n // shard_rows), -(-2 * spark.sparkContext.defaultParallelism // blocks))
+    rows = same.select("h0", "h1").limit(SAMPLE * shards).collect()  # rows lie by hash, so the first are a sample; it shapes shards only
     h = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 2).view(np.uint64)
     values = block_values(h, blocks)
-    trees = [top_tree(values[k], levels, 7 + k) for k in range(blocks)]
-    visits = same.select("id", "h0", "h1").mapInArrow(partial(_visit_batches, trees=trees, radius=radius // blocks), "shard int, home boolean, id long, h0 long, h1 long")
-    near = visits.groupBy("shard").applyInArrow(partial(_search_groups_keyed, blocks=blocks, shards=2**levels, radius=radius, forest=forest), "a long, b long, distance int")
-    return same, near
+    plans = [Shards(values[k], n, shards, shard_rows, 7 + k) for k in range(blocks)]
+    visits = same.select("id", "h0", "h1").mapInArrow(partial(_visit_batches, plans=plans, radius=radius // blocks), "shard long, home boolean, id long, h0 long, h1 long")
+    most = max(p.count for p in plans)
+
+    def search_shard(key, t):
+        return _search_shard(key, t, blocks, most, radius, forest)
+
+    return same, visits.groupBy("shard").applyInArrow(search_shard, "a long, b long, distance int")
 
 
-def _search_groups_keyed(key, t, blocks, shards, radius, forest):
-    return _search_groups(key, t, blocks, shards, radius, forest)
+def near_pairs(docs: DataFrame, radius: int = RADIUS, blocks: int | None = None, **cols: str) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): every pair (a, b, distance) of first ids of fingerprints within *radius* bits, a < b, and
+    (doc_id, first_doc_id) of every document that has a fingerprint.  Copies share a first id and aren't expanded into pairs."""
+    prints = cut(fingerprint_table(docs, **cols), "ids")
+    same, near = _search(prints, radius, blocks, forest=False)
+    return near.distinct(), _members(prints, same)
 
 
-def near_pairs(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, **cols: str) -> DataFrame:
-    """(a, b, distance): every pair of documents within *radius* bits, a < b, those of equal fingerprints included."""
-    same, near = _search(fingerprint_table(docs, **cols), radius, blocks, forest=False)
-    near = cut(near.distinct(), "near")
-    one, other = same.select(F.col("id").alias("a"), F.col("ids").alias("x")), same.select(F.col("id").alias("b"), F.col("ids").alias("y"))
-    across = near.join(one, "a").join(other, "b").select(F.explode("x").alias("a"), "y", "distance").select("a", F.explode("y").alias("b"), "distance")
-    within = same.where(F.size("ids") > 1).select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b"), F.lit(0).alias("distance")).where("a < b")
-    return across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance").unionByName(within)
+def _members(prints: DataFrame, same: DataFrame) -> DataFrame:
+    return prints.join(same.select("h0", "h1", F.col("id").alias("first")), ["h0", "h1"]).select(F.col("id").alias("doc_id"), F.col("first").alias("first_doc_id"))
 
 
 def _forest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,22 +485,19 @@ def components(edges: DataFrame, local_edges: int = 2_000_000) -> DataFrame:
     return ends.unionByName(ends.select(F.col("root").alias("id"), "root").distinct())
 
 
-def near_groups(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, **cols: str) -> DataFrame:
-    """(group_id, n_docs, doc_ids): connected groups of near copies; group_id is the smallest doc_id."""
-    same, near = _search(fingerprint_table(docs, **cols), radius, blocks, forest=True)
+def near_groups(docs: DataFrame, radius: int = RADIUS, blocks: int | None = None, **cols: str) -> DataFrame:
+    """(doc_id, first_doc_id, n_copies): each document of a connected group of near copies, with the smallest doc_id and the number of documents of its group."""
+    prints = cut(fingerprint_table(docs, **cols), "ids")
+    same, near = _search(prints, radius, blocks, forest=True)
     roots = cut(components(near), "roots")
-    return (
-        same.join(roots, "id", "left")
-        .select(F.coalesce("root", "id").alias("group_id"), F.explode("ids").alias("x"))
-        .groupBy("group_id")
-        .agg(F.sort_array(F.collect_list("x")).alias("doc_ids"))
-        .select("group_id", F.size("doc_ids").cast("long").alias("n_docs"), "doc_ids")
-        .where("n_docs > 1")
-    )
+    classes = cut(same.join(fitted(roots, 16), "id", "left").select("h0", "h1", "n", F.coalesce("root", "id").alias("first")), "classes")
+    size = classes.groupBy("first").agg(F.sum("n").alias("n_copies")).where("n_copies > 1")
+    groups = cut(classes.drop("n").join(size, "first"), "groups")
+    return prints.join(fitted(groups, 32), ["h0", "h1"]).select(F.col("id").alias("doc_id"), F.col("first").alias("first_doc_id"), "n_copies")
 
 
-def drop_near_copies(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, radius: int = RADIUS, blocks: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """*docs* without the documents that are near copies of one with a smaller doc_id of their group."""
     groups = near_groups(docs, radius, blocks, id_col=id_col, text_col=text_col)
-    gone = cut(groups.select("group_id", F.explode("doc_ids").alias("__gone")).where("__gone <> group_id").select("__gone"), "gone")
+    gone = cut(groups.where("doc_id <> first_doc_id").select(F.col("doc_id").alias("__gone")), "gone")
     return docs.join(fitted(gone, 16), docs[id_col] == F.col("__gone"), "left_anti")

@@ -4,6 +4,7 @@ import itertools
 import json
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -77,57 +78,107 @@ def test_chinese_copies_leaks_and_repeats(spark):
     a, passage, item = text(400), text(70), text(15) + "？" + text(15) + "。"
     rows = [(0, a), (1, a[:200] + "改" + a[201:]), (2, text(200) + passage + text(90)), (3, text(90) + passage + text(200)), (4, text(100) + item + text(100)), (5, text(300))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert [x["doc_ids"] for x in simhash.near_groups(df).collect()] == [[0, 1]]
+    assert {tuple(x) for x in simhash.near_groups(df).collect()} == {(0, 0, 2), (1, 0, 2)}
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert [(x["doc_id"], x["item_id"]) for x in decontam.leaks(df, items).collect()] == [(4, 1)]
     assert {x[0] for x in suffixes.repeats(df).collect()} == {0, 1, 2, 3}
 
 
-def test_simhash_pairs_and_groups(spark, docs, texts):
-    ids = [i for i, t in texts.items() if _hashes(t)]
-    a, b, _ = simhash.fingerprints(pa.array([texts[i] for i in ids]))
-    d = lambda i, j: int(np.bitwise_count(a[i] ^ a[j])) + int(np.bitwise_count(b[i] ^ b[j]))
-    want = {(ids[i], ids[j]): d(i, j) for i, j in itertools.combinations(range(len(ids)), 2) if d(i, j) <= simhash.RADIUS}
-    got = {(r["a"], r["b"]): r["distance"] for r in simhash.near_pairs(docs).collect()}
-    assert got == want and (1, 7) in got and (1, 11) in got
+def _groups(ids, pairs):
+    """(id, smallest id, size) of the connected groups of more than one."""
     up = {}
-    root = lambda x: x if up.get(x, x) == x else root(up[x])
-    for x, y in want:
+
+    def root(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    for x, y in pairs:
         x, y = root(x), root(y)
-        up[max(x, y)] = min(x, y)
-    groups = {}
-    for i in ids:
-        groups.setdefault(root(i), []).append(i)
-    groups = {k: sorted(v) for k, v in groups.items() if len(v) > 1}
-    found = simhash.near_groups(docs).collect()
-    assert {r["group_id"]: r["doc_ids"] for r in found} == groups
+        if x != y:
+            up[max(x, y)] = min(x, y)
+    size = Counter(root(i) for i in ids)
+    return {(i, root(i), size[root(i)]) for i in ids if size[root(i)] > 1}
+
+
+def _near(texts, ids):
+    """{(i, j): bits} of all pairs of texts within the radius, compared one by one."""
+    a, b, _ = simhash.fingerprints(pa.array([texts[i] for i in ids]))
+    d = np.bitwise_count(a[:, None] ^ a[None, :]).astype(int) + np.bitwise_count(b[:, None] ^ b[None, :])
+    return {(ids[i], ids[j]): int(d[i, j]) for i, j in itertools.combinations(range(len(ids)), 2) if d[i, j] <= simhash.RADIUS}
+
+
+def test_simhash_pairs_and_groups(spark, docs, texts):
+    ids = sorted(i for i, t in texts.items() if _hashes(t))
+    want = _near(texts, ids)
+    assert (1, 7) in want and (1, 11) in want
+    pairs, members = simhash.near_pairs(docs)
+    first = {x["doc_id"]: x["first_doc_id"] for x in members.collect()}
+    assert first == {i: min(j for j in ids if i == j or want.get((min(i, j), max(i, j))) == 0) for i in ids}
+    assert {(x["a"], x["b"]): x["distance"] for x in pairs.collect()} == {p: d for p, d in want.items() if d and all(first[i] == i for i in p)}
+    groups = _groups(ids, want)
+    assert {tuple(x) for x in simhash.near_groups(docs).collect()} == groups
+    assert {tuple(x) for x in simhash.near_groups(docs, blocks=6).collect()} == groups
     left = simhash.drop_near_copies(docs)
-    gone = {x for v in groups.values() for x in v[1:]}
     assert left.columns == docs.columns
-    assert {r["doc_id"] for r in left.collect()} == {None, *texts} - gone
-    assert simhash.near_groups(docs.limit(0)).count() == 0
+    assert {r["doc_id"] for r in left.collect()} == {None, *texts} - {i for i, first, _ in groups if i != first}
+    assert simhash.near_groups(docs.limit(0)).count() == 0 and simhash.drop_near_copies(docs.limit(0)).count() == 0
 
 
-def test_simhash_random_fingerprints_match_brute_force():
-    r = np.random.default_rng(1)
-    h = r.integers(0, 1 << 63, (400, 2)).astype(np.uint64)
-    for k in range(200, 400):
-        h[k] = h[k - 200]
-        for bit in r.choice(128, r.integers(0, 30), replace=False):
+def _flipped(r, h, most):
+    for k in range(len(h)):
+        for bit in r.choice(128, r.integers(0, most), replace=False):
             h[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    return h
+
+
+@pytest.mark.parametrize("blocks", [8, 6, 4])
+def test_simhash_random_fingerprints_match_brute_force(blocks):
+    r = np.random.default_rng(1)
+    h = r.integers(0, 1 << 63, (200, 2)).astype(np.uint64)
+    h = np.concatenate([h, _flipped(r, h.copy(), 30), _flipped(r, np.repeat(h[:1], 300, axis=0), 9)])  # the last are a hot group
     d = np.bitwise_count(h[:, None, 0] ^ h[None, :, 0]).astype(int) + np.bitwise_count(h[:, None, 1] ^ h[None, :, 1])
     want = {(i, j) for i, j in zip(*np.nonzero(d <= 23)) if i < j}
-    got = set()
-    values = simhash.block_values(h, 8)
-    for block in range(8):
-        tree = simhash.top_tree(values[block], 3)
-        row, shard, home = simhash.shard_visits(values[block], tree, 2)
-        assert home.sum() == len(h)
+    ids, got, edges, balls = np.arange(len(h)), set(), set(), 0
+    for block, values in enumerate(simhash.block_values(h, blocks)):
+        plan = simhash.Shards(values, len(h), 9, 20, block)
+        assert plan.parts.max() > 1  # the hot value is dealt to parts
+        row, shard, home = plan.visits(values, ids, 23 // blocks)
+        assert sorted(row[home]) == ids.tolist()
         for s in np.unique(shard):
             m = shard == s
-            for x, y, _ in simhash.shard_pairs(row[m], home[m], h[row[m]], block, 8, 23):
+            for x, y, bits in simhash.shard_pairs(row[m], home[m], h[row[m]], block, blocks, 23):
+                assert (d[x, y] == bits).all()
                 got |= set(zip(x.tolist(), y.tolist()))
-    assert got == want
+            for x, y in simhash.shard_edges(row[m], home[m], h[row[m]], block, blocks, 23):
+                edges |= {(min(p), max(p)) for p in zip(x.tolist(), y.tolist())}
+        balls += (simhash.balls(values, simhash.Prints(h), 23) != ids).sum()
+    assert got == want and edges <= want and balls > 100
+    assert _groups(ids.tolist(), edges) == _groups(ids.tolist(), want)
+
+
+def test_vantage_point_trees_bound_shards_and_visits():
+    r = np.random.default_rng(2)
+    shards, n = 1024, 200_000
+    h = r.integers(0, 1 << 63, (n, 2)).astype(np.uint64)
+    h[: n // 3, 0] &= np.uint64(0xFFFFFFFFFFFF00FF)  # a third of all rows share half of a block
+    visits = []
+    for block, values in enumerate(simhash.block_values(h, 8)):
+        plan = simhash.Shards(values[r.choice(n, simhash.SAMPLE * shards)], n, shards, n // shards, block)
+        assert len(plan.tree.levels) >= 10
+        v, ids = values[::20], np.arange(0, n, 20)
+        row, shard, home = plan.visits(v, ids, 2)
+        lives = np.bincount(plan.base[plan.tree.home(values)] + (simhash.mix(np.arange(n, dtype=np.uint64)) % plan.parts[plan.tree.home(values)].astype(np.uint64)).astype(int), minlength=plan.count)
+        assert lives.max() <= 4 * n / plan.count
+        visits.append(len(row) / len(v))
+    assert max(visits) < 60  # a row goes to this many of some thousand shards
+
+
+def test_hot_group_needs_few_edges():
+    r = np.random.default_rng(4)
+    h = _flipped(r, np.repeat(r.integers(0, 1 << 63, (1, 2)).astype(np.uint64), 3000, axis=0), 6)
+    n = sum(len(x) for x, _ in simhash.shard_edges(np.arange(3000), np.ones(3000, bool), h, 0, 8, 23))
+    assert n < 100 * 3000  # of 4.5 million pairs
 
 
 def test_components_both_ways(spark):
