@@ -443,6 +443,53 @@ def test_tool_calls(spark):
     assert toolcalls.chats(*empty, schemas).count() == 0
 
 
+CALLS = "conv_id long, id string, name string, arguments string, depends_on array<string>, position long"
+
+
+def test_tool_calls_of_odd_arguments(spark):
+    odd = ['{"x":"\\ud800"}', "[" * 200_000 + "]" * 200_000, '{"x":' * 5_000 + "1" + "}" * 5_000, '{"x":NaN}', '{"x":1e999}', '{"x":-Infinity}', '{"x":' + "9" * 5_000 + "}", '{"x":1,"x":2}', "", '{"x":"' + "long " * 400_000 + '"}', None]
+    calls = spark.createDataFrame([(k, "a", "any", x, None, 0, "s", "t") for k, x in enumerate(odd)], CALLS + ", json string, n_calls string")
+    results = spark.createDataFrame([], "conv_id long, id string, content string, position long")
+    context = spark.createDataFrame([], "conv_id long, content string, position long")
+    got = {x["conv_id"]: x for x in toolcalls.chats(calls, results, context, {"any": {"type": "object"}}).collect()}
+    assert len(got) == len(odd) and [k for k, x in sorted(got.items()) if not x["n_invalid"]] == [0, 2, 7, 9]
+    calls = {k: json.loads(x["json"], parse_constant=pytest.fail)["calls"][0]["arguments"] for k, x in got.items()}
+    assert calls[0] == {"x": "\ud800"} and calls[7] == {"x": 2} and len(calls[9]["x"]) == 2_000_000 and all(calls[k] == odd[k] for k in (1, 3, 4, 5, 6, 8, 10))
+
+
+@pytest.mark.parametrize(
+    ("schema", "good", "bad"),
+    [
+        ({"enum": [True, 2]}, [True, 2, 2.0], [1, "2"]),
+        ({"const": [1, {"a": None}]}, [[1.0, {"a": None}]], [[True, {"a": None}], [1, {}]]),
+        ({"type": "string", "pattern": "^a+$", "maxLength": 3}, ["a", "aaa"], ["b", "aaaa", 1]),
+        ({"anyOf": [{"type": "integer"}, {"type": "null"}]}, [1, None, 1.0], ["", True, 1.5]),
+        ({"oneOf": [{"multipleOf": 2}, {"multipleOf": 3}]}, [2, 3], [6, 5]),
+        ({"allOf": [{"minimum": 1}, {"exclusiveMaximum": 3}]}, [1, 2.9], [3, 0]),
+        ({"not": {"type": "array"}}, [1], [[]]),
+        ({"multipleOf": 0.1}, [0.3, 7], [0.25]),
+        ({"exclusiveMinimum": 0}, [0.1], [0, -1]),
+        ({"uniqueItems": True, "minItems": 1}, [[1, True, "1"]], [[1, 1.0], []]),
+        ({"prefixItems": [{"type": "string"}], "items": {"type": "integer"}}, [["a", 1], []], [[1], ["a", "b"]]),
+        ({"contains": {"const": 1}, "maxContains": 2}, [[1], [1, 2, 1]], [[], [1, 1, 1]]),
+        ({"properties": {"a": {"type": "integer"}}, "patternProperties": {"^x": {"type": "string"}}, "additionalProperties": False}, [{"a": 1, "xy": ""}], [{"b": 1}, {"xy": 1}]),
+        ({"propertyNames": {"maxLength": 1}, "minProperties": 1, "maxProperties": 2}, [{"a": 1}], [{}, {"ab": 1}]),
+        ({"dependentRequired": {"a": ["b"]}}, [{"a": 1, "b": 2}, {}], [{"a": 1}]),
+        ({"if": {"required": ["a"]}, "then": {"required": ["b"]}, "else": {"required": ["c"]}}, [{"a": 1, "b": 1}, {"c": 1}], [{"a": 1}, {}]),
+        ({"$defs": {"t": {"type": "object", "properties": {"next": {"$ref": "#/$defs/t"}, "v": {"type": "integer"}}}}, "$ref": "#/$defs/t"}, [{"next": {"next": {"v": 1}}}], [{"next": {"v": "x"}}]),
+    ],
+)
+def test_schemas(schema, good, bad):
+    toolcalls.check_schema(schema)
+    assert all(toolcalls.conforms(v, schema) for v in good) and not any(toolcalls.conforms(v, schema) for v in bad)
+
+
+@pytest.mark.parametrize("schema", [{"unevaluatedItems": False}, {"type": "float"}, {"items": {"$ref": "#/none"}}, {"$ref": "http://x"}, 3])
+def test_schemas_that_are_refused(schema):
+    with pytest.raises(ValueError):
+        toolcalls.check_schema(schema)
+
+
 def test_revisits(spark):
     m = "map<string,string>"
     rows = [
