@@ -87,8 +87,8 @@ p as (select *, coalesce(sum(n_bytes) over (order by doc_id nulls first, n_bytes
 select doc_id, n_bytes, byte_start, least(byte_start * greatest(1, ceil(total / {sharding.TARGET_BYTES}.0)::bigint) // greatest(total, 1), greatest(1, ceil(total / {sharding.TARGET_BYTES}.0)::bigint) - 1)::bigint as shard from p""",
     "op6_revisit_resolution": f"""
 with a as (select page_id, url, html, regexp_replace(trim(url), '#.*$', '') as bare from pages),
-b as (select *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '{revisits.SCHEME}([^/?]*)', 2)), '^(www|m)[.]', ''), ':(80|443)$', '') as host, regexp_replace(bare, '{revisits.SCHEME}[^/?]*', '') as rest from a),
-c as (select *, regexp_replace(regexp_replace(regexp_extract(rest, '^[^?]*', 0), '(/index)?[.]html?$', ''), '/+$', '') as path,
+b as (select *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '{revisits.SCHEME}([^/?]*)', 2)), case when lower(bare) like 'https:%' then ':443$' else ':80$' end, ''), '^www[.]', '') as host, regexp_replace(bare, '{revisits.SCHEME}[^/?]*', '') as rest from a),
+c as (select *, regexp_replace(regexp_replace(regexp_extract(rest, '^[^?]*', 0), '/index[.]html?$', ''), '/+$', '') as path,
         array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'), lambda p: p <> '' and not regexp_matches(p, '{revisits.TRACKING}'))), '&') as query from b),
 d as (select page_id, url, html, md5(html) as tag, host || path || case when coalesce(query, '') <> '' then '?' || query else '' end as canonical_url from c),
 l as (select canonical_url, max(page_id) as refers_to from d group by 1),

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, lines, mixing, quality, quotient, revisits, sharding, simhash, suffixes, toolcalls
+from corpusloom.llm import common, decontam, lines, mixing, quality, quotient, revisits, sharding, simhash, suffixes, toolcalls
 from corpusloom.llm.tokens import words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id string, a int, h string, fp string, shard string"
@@ -495,8 +495,8 @@ def test_revisits(spark):
     rows = [
         (1, "response", "http://www.X.com/a/?utm_source=q&b=2&a=1#f", 10, '"t1"', None, {"Content-Type": "text/html", "Date": "d1"}, "one"),
         (2, "response", "https://x.com/a?a=1&b=2", 20, 'W/"t2"', None, {}, "two"),
-        (3, "revisit", "x.com/a/index.html?b=2&a=1", 20, '"t1"', None, {"Date": "d3", "Content-Length": "0"}, None),
-        (4, "revisit", "//m.x.com:80/a?a=1&b=2" [2:], 30, '"t2"', None, None, None),
+        (3, "revisit", "x.com:80/a/index.html?b=2&a=1", 20, '"t1"', None, {"Date": "d3", "Content-Length": "0"}, None),
+        (4, "revisit", "https://X.com:443/a?a=1&b=2", 30, '"t2"', None, None, None),
         (5, "revisit", "http://x.com/a?a=1&b=2", 40, '"t9"', None, None, None),
         (6, "revisit", None, 40, '"t9"', None, None, None),
         (7, "revisit", "http://y.com", 40, '"t9"', None, None, None),
@@ -510,6 +510,43 @@ def test_revisits(spark):
     assert revisits.resolve(df.limit(0)).count() == 0
 
 
+RECORDS = "record_id long, kind string, url string, date long, etag string, last_modified string, headers map<string,string>, payload string, r string, digest string, stretch string, status string"
+
+
+def test_revisits_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(common, "PREFIX_ROWS", 20)  # many stretches of dates
+    r = random.Random(4)
+    rows = []
+    for k in range(400):
+        kind = "response" if r.random() < 0.4 else "revisit"
+        url = r.choice(["http://hot.com/x"] * 6 + ["http://a.com", "https://a.com:443/", "http://a.com:443/", "http://a.com/about", "http://a.com/about.html", None])
+        payload = None if kind == "revisit" else r.choice(["", "body", f"p{k}", None, "long " * 50_000 if k % 4 == 0 else "b"])
+        rows.append((k // 2, kind, url, r.choice([None, *range(40)]), r.choice([None, '"a"', 'W/"a"', '"b"']), r.choice([None, "m1", "m2"]), r.choice([None, {}, {"Date": f"d{k}", "date": "low"}, {"X": "1"}]), payload, "x", "y", "z", "w"))
+    rows += rows[:40]
+    df = spark.createDataFrame(rows, RECORDS).repartition(3)
+    site = {None: None, "http://hot.com/x": 1, "http://a.com": 2, "https://a.com:443/": 2, "http://a.com:443/": 3, "http://a.com/about": 4, "http://a.com/about.html": 5}
+    bare = lambda t: t and t.removeprefix("W/").strip('"')
+    want = []
+    for x in rows:
+        if x[1] == "revisit":
+            before = [y for y in rows if y[1] == "response" and None not in (x[3], y[3], x[2], y[2]) and site[x[2]] == site[y[2]] and y[3] < x[3]]
+            y = max(before, key=lambda y: (y[3], y[0], y[4] or "", y[5] or ""), default=None)
+            same = None if y is None else bare(x[4]) == bare(y[4]) if x[4] and y[4] else x[5] == y[5] if x[5] and y[5] else None
+            want.append((x[0], x[2], "no_response" if y is None else "no_validator" if same is None else "resolved" if same else "validator_mismatch", y and y[0]))
+    got = revisits.resolve(df).collect()
+    assert Counter((x["record_id"], x["url"], x["status"], x["refers_to"]) for x in got) == Counter(want)
+    texts = {}
+    for y in rows:
+        texts.setdefault(y[0], set()).add(y[7])
+    assert all(x["payload"] in texts[x["refers_to"]] and "Date" not in x["headers"] for x in got if x["status"] == "resolved")
+    assert sum(len(x["payload"] or "") > 1000 for x in got) > 0 and {x["status"] for x in got} == {"resolved", "no_response", "no_validator", "validator_mismatch"}
+
+
+def test_header_names_in_two_spellings(spark):
+    df = spark.createDataFrame([({"Date": "1", "date": "2", "DATE": "3", "X": None},), ({},)], "m map<string,string>")
+    assert [x["m"] for x in df.select(revisits.lower_names(F.col("m")).alias("m")).collect()] == [{"date": "2", "x": None}, {}]
+
+
 def test_pipeline(spark, tmp_path):
     import shutil
 
