@@ -3,9 +3,10 @@
 Every partition puts its texts' 64-bit fingerprints into a counting quotient filter: the
 top bits (quotient) index a table whose occupied and run-end bits frame the runs, the rest
 (remainder) is stored in sorted runs, with counters.  Filters are cut by the first bits of the
-quotient and merged run by run in the order of the remainders, losslessly: the merged counts
+quotient and merged two by two in the order of quotients and remainders, without sorting again and losslessly: the merged counts
 are those of all texts.  Texts whose fingerprint counts above one go on to byte verification,
-where equal bytes, not equal fingerprints, make a group.
+where equal bytes, not equal fingerprints, make a group.  That is a count by text, added up before the exchange, so that
+a text of very many copies crosses it once from each task; ids travel with digests only and are never gathered.
 
 Defined cases: null texts and ids are left out; the empty text is a text like any other; repeated
 rows of an id with the same text count as one document; ties keep the smallest id; an empty
@@ -40,7 +41,7 @@ def encode(fps: np.ndarray, counts: np.ndarray, slice_bits: int) -> bytes:
     rest = (fps & np.uint64((1 << shift) - 1)).view(np.uint8).reshape(-1, 8)[:, :REMAINDER_BYTES]
     more = counts > 1
     head = np.array([len(fps), int(more.sum())], np.uint32).tobytes()
-    return head + np.packbits(occupied).tobytes() + np.packbits(end).tobytes() + np.packbits(more).tobytes() + counts[more].astype(np.uint32).tobytes() + rest.tobytes()
+    return head + np.packbits(occupied).tobytes() + np.packbits(end).tobytes() + np.packbits(more).tobytes() + counts[more].astype(np.uint64).tobytes() + rest.tobytes()
 
 
 def decode(blob: bytes, number: int, slice_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,21 +55,37 @@ def decode(blob: bytes, number: int, slice_bits: int) -> tuple[np.ndarray, np.nd
     more = np.unpackbits(np.frombuffer(blob, np.uint8, bits, at + bits), count=n).astype(bool)
     at += 2 * bits
     counts = np.ones(n, np.int64)
-    counts[more] = np.frombuffer(blob, np.uint32, m, at)
+    counts[more] = np.frombuffer(blob[at : at + 8 * m], np.uint64)
     rest = np.zeros((n, 8), np.uint8)
-    rest[:, :REMAINDER_BYTES] = np.frombuffer(blob, np.uint8, n * REMAINDER_BYTES, at + 4 * m).reshape(n, REMAINDER_BYTES)
+    rest[:, :REMAINDER_BYTES] = np.frombuffer(blob, np.uint8, n * REMAINDER_BYTES, at + 8 * m).reshape(n, REMAINDER_BYTES)
     run = np.cumsum(end) - end
     quotient = occupied[run].astype(np.uint64) | np.uint64(number << RUN_BITS)
     return (quotient << np.uint64(shift)) | rest.view(np.uint64).ravel(), counts
 
 
+def merge_two(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One filter from two: runs of both interleave by their remainders, counts of equal ones add up."""
+    (fa, na), (fb, nb) = (a, b) if len(a[0]) >= len(b[0]) else (b, a)
+    at = np.searchsorted(fa, fb)
+    both = np.zeros(len(fb), bool)
+    both[at < len(fa)] = fa[at[at < len(fa)]] == fb[at < len(fa)]
+    na = na.copy()
+    na[at[both]] += nb[both]
+    at, fb, nb = at[~both], fb[~both], nb[~both]
+    place = at + np.arange(len(at))
+    fps, counts = np.empty(len(fa) + len(fb), np.uint64), np.empty(len(fa) + len(fb), np.int64)
+    old = np.ones(len(fps), bool)
+    old[place] = False
+    fps[place], counts[place], fps[old], counts[old] = fb, nb, fa, na
+    return fps, counts
+
+
 def merge(filters: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """One sorted filter from many; counts add up."""
-    fps, counts = (np.concatenate([f[i] for f in filters]) for i in (0, 1))
-    order = np.argsort(fps, kind="stable")  # merges runs that are sorted already
-    fps, counts = fps[order], counts[order]
-    first = np.flatnonzero(np.append(True, fps[1:] != fps[:-1])) if len(fps) else np.zeros(0, np.int64)
-    return fps[first], np.add.reduceat(counts, first) if len(first) else counts
+    """One sorted filter from many, merged two by two; counts add up."""
+    filters = list(filters) or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    while len(filters) > 1:
+        filters = [merge_two(*filters[k : k + 2]) if k + 1 < len(filters) else filters[k] for k in range(0, len(filters), 2)]
+    return filters[0]
 
 
 def _filter_batches(batches: Iterator[pa.RecordBatch], slice_bits: int) -> Iterator[pa.RecordBatch]:
@@ -93,7 +110,7 @@ def _merge_slice(key, t: pa.Table, slice_bits: int) -> pa.Table:
 def repeated_fingerprints(fps: DataFrame) -> DataFrame:
     """(fp, n): the values of the long column of *fps* that occur more than once."""
     parts = fps.rdd.getNumPartitions()
-    bits = min(16, max(4, math.ceil(math.log2(max(1, parts) * 2))))
+    bits = max(4, math.ceil(math.log2(max(1, parts) * 2)))
     filters = fps.mapInArrow(partial(_filter_batches, slice_bits=bits), "slice int, filter binary")
 
     def merge_slice(key, t):
@@ -107,5 +124,15 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null").withColumn("fp", F.xxhash64("text"))
     repeated = cut(repeated_fingerprints(texts.select("fp")).select("fp"), "repeated")
     held = texts.join(fitted(repeated, 16), "fp")
-    groups = held.groupBy("fp", "text").agg(F.collect_set("doc_id").alias("ids")).where(F.size("ids") > 1)
-    return groups.select(F.array_min("ids").alias("first_doc_id"), F.size("ids").cast("long").alias("n_copies"), F.explode("ids").alias("doc_id")).select("doc_id", "first_doc_id", "n_copies")
+    digest = F.sha2("text", 256).alias("digest")
+    same = held.groupBy("fp", "text").count().where("count > 1").select("fp", digest)  # equal bytes
+    members = cut(held.select("doc_id", "fp", digest).distinct(), "members")
+    groups = members.groupBy("fp", "digest").agg(F.min("doc_id").alias("first_doc_id"), F.count("*").alias("n_copies")).where("n_copies > 1")
+    groups = cut(groups.join(same, ["fp", "digest"], "left_semi"), "groups")
+    return members.join(fitted(groups, 120), ["fp", "digest"]).select("doc_id", "first_doc_id", "n_copies")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """*docs* without the documents whose text one with a smaller id has; rows with a null id or text stay, and so do rows of an id with several texts unless a copy is among them."""
+    gone = cut(copies(docs, id_col, text_col).where("doc_id <> first_doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    return docs.join(fitted(gone, 16), docs[id_col] == F.col("__gone"), "left_anti")
