@@ -66,8 +66,11 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
             while lo < hi:
                 mid = (lo + hi) // 2
                 lo, hi = (mid + 1, hi) if tails[mid] < i else (lo, mid)
-            tails[lo:] = [i, *tails[lo + 1 :]] if lo < len(tails) else [i]
-            places[lo:] = [k, *places[lo + 1 :]] if lo < len(places) else [k]
+            if lo == len(tails):
+                tails.append(i)
+                places.append(k)
+            else:
+                tails[lo], places[lo] = i, k
             back.append(places[lo - 1] if lo else -1)
         k, chain = places[-1], []
         while k >= 0:
@@ -225,6 +228,8 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """(doc_id, text, n_lines_removed) of every document."""
     gone = cut(deletions(docs, id_col=id_col, text_col=text_col, **options).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone")), "gone")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
-    joined = rows.join(fitted(gone, 128), (F.col("doc_id") == F.col("__id")) & (F.col("th") == F.col("__th")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
+    joined = rows.join(fitted(gone, 64, ("__gone",)), (F.col("doc_id") == F.col("__id")) & (F.col("th") == F.col("__th")), "left")
+    joined = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split("text", "\n", -1)))  # referred to twice, so that it isn't moved into the lambda
+    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone")  # by a hash set
+    kept = F.array_join(F.transform(left, lambda i: F.get(F.col("__lines"), i)), "\n")
     return joined.select("doc_id", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept).alias("text"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_lines_removed"))

@@ -302,6 +302,18 @@ def test_quotient_filter(spark, docs, texts):
     assert (fps == want).all() and (counts == n).all()
 
 
+def test_quotient_filter_of_a_hot_text(spark):
+    rows = [(i, "hot " * 50 if i % 3 else f"own {i // 6}") for i in range(3000)] + [(7, "hot " * 50)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    groups = {}
+    for i, t in dict.fromkeys(rows):
+        groups.setdefault(t, []).append(i)
+    assert {tuple(x) for x in quotient.copies(df).collect()} == {(i, min(g), len(g)) for g in groups.values() if len(g) > 1 for i in g}
+    assert sorted(x["doc_id"] for x in quotient.drop_copies(df).collect()) == sorted(min(g) for g in groups.values())
+    plan = quotient.copies(df)._jdf.queryExecution().toString()
+    assert "collect_" not in plan and "shuffle_hash" not in plan
+
+
 def test_quality(spark, docs):
     r = random.Random(1)
     rows, marks = [], []
@@ -325,19 +337,9 @@ def test_quality(spark, docs):
 
 def test_lines(spark, docs, texts):
     by = {i: [x.strip(" ") for x in t.split("\n")] for i, t in texts.items() if t is not None}
-    holders = {}
-    for i, ls in by.items():
-        for x in {x for x in ls if len(x) >= 20}:
-            holders.setdefault(x, []).append(i)
-    pairs = set()
-    for ids in holders.values():
-        ids = sorted(ids)
-        pairs |= set(itertools.combinations(ids, 2)) if len(ids) <= lines.RARE else {(ids[0], j) for j in ids[1:]}
-    gone = {}
-    number = {x: k for k, x in enumerate({x for ls in by.values() for x in ls})}
-    for a, b in pairs:
-        g = lines.deleted([number[x] for x in by[a]], [number[x] for x in by[b]], [len(x) for x in by[b]], lines.MIN_BLOCK)
-        gone.setdefault(b, set()).update(g)
+    gone = _shared_lines(by)
+    for i in [i for i, ls in by.items() if sum(map(len, ls)) < 80 and all(len(x) < 20 for x in ls)]:
+        gone.pop(i, None)  # too short to pair
     want = {i: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, ())) for i, t in texts.items()}
     got = lines.without_repeated_lines(docs).collect()
     assert len(got) == docs.count() and {x["doc_id"]: x["text"] for x in got if x["doc_id"] is not None} == want
@@ -345,6 +347,45 @@ def test_lines(spark, docs, texts):
     assert lines.without_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_of_hot_blocks_and_long_texts(spark):
+    block = [f"{c} " + c * 32 for c in "abcd"]  # each line first held by another document
+    by = {i: [f"own line number {i} of the first", block[i]] for i in range(4)}
+    by |= {i: [f"x{i}", *block, f"y{i}"] for i in range(10, 310)}
+    by[400] = [f"line {k} of a text of very many lines" for k in range(30_000)]
+    by[401] = [f"line {k} of a text of very many lines" if k % 3 else f"other {k}" for k in range(30_000)]
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in by.items()], "doc_id long, text string").repartition(3)
+    out = lines.without_repeated_lines(df)
+    got = {x["doc_id"]: x["text"].split("\n") for x in out.collect()}
+    assert all(got[i] == [f"x{i}", f"y{i}"] for i in range(11, 310)) and got[10] == by[10]
+    assert got[400] == by[400] and got[401] == by[401]  # their blocks are of two lines, under 80 characters
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(split" not in plan and "lambdafunction(get(split" not in plan
+
+
+def _lis_blocks(a, b):
+    """Unique common lines in their longest common order, by a table over all pairs."""
+    one = {x: i for i, x in enumerate(a) if a.count(x) == 1}
+    pairs = [(one[x], j) for j, x in enumerate(b) if b.count(x) == 1 and x in one]
+    best = []
+    for k, (i, _) in enumerate(pairs):
+        best.append(1 + max((best[m] for m in range(k) if pairs[m][0] < i), default=0))
+    return max(best, default=0)
+
+
+def test_patience_is_valid_and_longest():
+    r = random.Random(7)
+    for _ in range(200):
+        a = [r.randrange(30) for _ in range(r.randint(0, 25))]
+        b = [r.randrange(30) for _ in range(r.randint(0, 25))]
+        if r.random() < 0.5:
+            a[3:9] = b[5:11]
+        blocks = lines.patience(a, b)
+        at = [(i + k, j + k) for i, j, n in blocks for k in range(n)]
+        assert all(a[i] == b[j] for i, j in at) and at == sorted(at) and len({i for i, _ in at}) == len({j for _, j in at}) == len(at)
+        if not (a and b and (a[0] == b[0] or a[-1] == b[-1])):
+            assert len(at) >= _lis_blocks(a, b)
+
+
 def _shared_lines(by, min_block=80):
     """Lines of each document in a run of *min_block* characters that any earlier one has, by comparing all pairs."""
     gone = {}
