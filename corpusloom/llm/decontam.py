@@ -7,7 +7,7 @@ UNIT words is indexed as several units.  Windows in which even the summed maxima
 terms present can't reach the threshold are passed over for whole batches at a time,
 by the terms that matter first; what is left runs block-max WAND over the postings.
 A retrieved item counts as leaked when its question and its answer both overlap with
-the window, by word 3-grams in each (single words where either has under three); the
+the window and as many words before and after it as the item has, by word 3-grams in each (single words where either has under three); the
 answer is the last sentence or line of the item, the question the rest; if either is
 under four words, they are the item's second and first half.
 
@@ -15,9 +15,9 @@ The index is shipped to the executors in shards of a bounded size: a benchmark l
 than SHARD_BYTES takes one pass over the texts for each shard.  Document frequencies
 and the average length are those of the whole benchmark, whatever the shards.
 
-Defined cases: a null or empty text or item has no words and takes no part; null ids are
-left out; repeated rows of an item are one item, repeated rows of a document give one
-result row each; ties between windows keep the earliest; an empty table gives no rows.
+Defined cases: a null or empty text or item has no words and takes no part; items of a null id are
+left out, and so are documents of one in ``leaks`` (``drop_contaminated`` looks at texts only, so it drops them as well); repeated rows of an item are one item, different texts
+of one item_id are all indexed and the best of them counts, as does the best of the rows of one doc_id; ties between windows keep the earliest; texts of any length are searched whole; other columns aren't looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fitted
+from .common import cut
 from .tokens import OWN, rolling, slices, words
 
 K1, B = 1.2, 0.75
@@ -60,12 +60,12 @@ def question_answer(text: str) -> tuple[str, str]:
 class Index:
     """Units of items with BM25 impacts, each divided by the unit's score against itself; postings in blocks of BLOCK units with their maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[int, int], n: int, average: float, threshold: float) -> None:
+    def __init__(self, items: list[tuple[int, str]], df: dict[int, int], n: int, average: float, threshold: float, longest: int = 1) -> None:
         self.items, self.threshold = [i for i, _ in items], threshold
         self.need: list[tuple[int, np.ndarray, np.ndarray, int]] = []
         term, unit, impact = [], [], []
         self.unit_item: list[int] = []
-        self.longest = 1
+        self.longest = longest  # of the whole benchmark's units, so that windows don't depend on the shard
         for k, (_, text) in enumerate(items):
             h = words(pa.array([text]))[0]
             q, a = (words(pa.array([x]))[0] for x in question_answer(text))
@@ -207,20 +207,17 @@ def scan(h: np.ndarray, off: np.ndarray, index: Index, overlap: float) -> Iterat
         if not found:
             continue
         a = int(off[r] + (w - chunk0[r]) * step)
-        window = h[a : min(a + 2 * step, int(off[r + 1]))]
-        there = {}
-        short = {}
+        there, short = {}, {}
         for u, score in found.items():
             k = index.unit_item[u]
             n, question, answer, length = index.need[k]
-            wide = length > UNIT  # several units, which may lie in several windows
-            if (n, wide) not in there:
-                there[n, wide] = grams(h[int(off[r]) : int(off[r + 1])] if wide else window, n)
-            q, s = share(question, there[n, wide]), share(answer, there[n, wide])
-            if q >= overlap and s >= overlap and score > short.get(k, (0,))[0]:
+            if (n, length) not in there:  # the window, and what the item may reach beyond it
+                there[n, length] = grams(h[max(int(off[r]), a - length) : min(a + 2 * step + length, int(off[r + 1]))], n)
+            q, s = share(question, there[n, length]), share(answer, there[n, length])
+            if q >= overlap and s >= overlap and score > short.get(k, (0,))[0] + 1e-9:
                 short[k] = (score, q, s, a - int(off[r]))
         for k, x in short.items():
-            if (r, k) not in best or x[0] > best[r, k][0]:
+            if (r, k) not in best or x[0] > best[r, k][0] + 1e-9:
                 best[r, k] = x
     for (r, k), x in best.items():
         yield r, k, *x
@@ -230,11 +227,15 @@ def _scan_batches(batches: Iterator[pa.RecordBatch], index: Index, overlap: floa
     for batch in batches:
         for lo, hi in slices(batch.column(1), 1 << 20):
             h, _, off = words(batch.column(1)[lo:hi])
-            rows = list(scan(h, off, index, overlap))
-            if rows:
-                r, k, *rest = zip(*rows)
+            best: dict[tuple[int, int], tuple] = {}
+            for r, k, *x in scan(h, off, index, overlap):  # of the texts of an item the best
+                if (at := (r, index.items[k])) not in best or (-round(x[0], 9), x[3]) < (-round(best[at][0], 9), best[at][3]):
+                    best[at] = tuple(x)
+            if best:
+                r, item = zip(*best)
+                rest = list(zip(*best.values()))
                 ids = batch.column(0)[lo:hi].take(pa.array(r))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([index.items[x] for x in k], pa.int64()), *(pa.array(x) for x in rest[:3]), pa.array(rest[3], pa.int64())], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "start_word"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(item, pa.int64()), *(pa.array(x) for x in rest[:3]), pa.array(rest[3], pa.int64())], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "start_word"])
 
 
 def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,38 +248,49 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(t), ids[r])), pa.array(t.view(np.int64)), pa.array(np.full(len(t), int((row == r).sum())))], ["item", "term", "words"])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap, start_word): each leaked item of each document, at its best window."""
-    first = Window.partitionBy("item").orderBy("text")
-    items = cut(
-        benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text"))
-        .where("item is not null and length(text) > 0")
-        .withColumn("k", F.row_number().over(first))
-        .where("k = 1")
-        .drop("k"),
-        "items",
-    )
-    terms = cut(items.mapInArrow(_term_batches, "item long, term long, words long"), "terms")
+def indexes(benchmark: DataFrame, threshold: float = THRESHOLD, item_col: str = "item_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
+    """The index of the benchmark's distinct (item, text), in shards of about *shard_bytes* of text."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text")).where("item is not null and length(text) > 0").distinct()
+    items = cut(items.withColumn("entry", F.xxhash64("item", F.sha2("text", 256))), "items")
+    terms = cut(items.select("entry", "text").mapInArrow(_term_batches, "item long, term long, words long"), "terms")
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).head()["b"] or 0
-    total = terms.groupBy("item").agg(F.max("words").alias("w")).agg(F.count("*").alias("n"), F.avg("w").alias("a")).head()
+    total = terms.groupBy("item").agg(F.max("words").alias("w")).agg(F.count("*").alias("n"), F.avg("w").alias("a"), F.max(F.ceil(F.col("w") / F.ceil(F.col("w") / UNIT))).alias("longest")).head()
     shards = max(1, -(-size // shard_bytes))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     frequency = terms.groupBy("term").agg(F.count("*").alias("n"))
     if shards > 1:
         frequency = cut(frequency, "df")
-    out = None
     for s in range(shards):
-        of_shard = F.pmod(F.xxhash64("item"), F.lit(shards)) == s
-        rows = items.where(of_shard).orderBy("item").collect()  # bounded by shard_bytes, about
-        mine = frequency if shards == 1 else frequency.join(terms.where(of_shard).select("term").distinct(), "term")
+        rows = items.where(F.pmod(F.xxhash64("entry"), F.lit(shards)) == s).orderBy("item", "text").collect()  # bounded by shard_bytes, about
+        mine = frequency if shards == 1 else frequency.join(terms.where(F.pmod(F.xxhash64("item"), F.lit(shards)) == s).select("term").distinct(), "term")
         df = {r["term"] % (1 << 64): r["n"] for r in mine.collect()}
-        index = Index([(r["item"], r["text"]) for r in rows if len(words(pa.array([r["text"]]))[0])], df, total["n"], total["a"] or 1.0, threshold)
-        part = texts.mapInArrow(partial(_scan_batches, index=index, overlap=overlap), "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, start_word long")
+        yield Index([(r["item"], r["text"]) for r in rows if len(words(pa.array([r["text"]]))[0])], df, total["n"], total["a"] or 1.0, threshold, total["longest"] or 1)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(doc_id, item_id, score, question_overlap, answer_overlap, start_word): each leaked item of each document, at its best window."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    out, columns = None, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, start_word long"
+    for index in indexes(benchmark, threshold, item_col, text_col, shard_bytes):
+        part = texts.mapInArrow(partial(_scan_batches, index=index, overlap=overlap), columns)
         out = part if out is None else out.unionByName(part)
-    return out
+    best = F.max_by(F.struct("score", "question_overlap", "answer_overlap", "start_word"), F.struct(F.round("score", 9), -F.col("start_word")))  # of rows of one id, and of an item's texts in several shards
+    return out.groupBy("doc_id", "item_id").agg(best.alias("x")).select("doc_id", "item_id", "x.*")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text_col: str = "text", item_col: str = "item_id", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """*docs* without the rows whose text holds a benchmark item; the texts are searched where they are, without a join."""
+    for index in indexes(benchmark, threshold, item_col, "text", shard_bytes):
+        docs = docs.where(_clean(index, overlap)(F.col(text_col)))
+    return docs
+
 
+def _clean(index: Index, overlap: float):
+    @F.arrow_udf("boolean")
+    def clean(text: pa.Array) -> pa.Array:
+        out = np.ones(len(text), bool)
+        for lo, hi in slices(text, 1 << 20):
+            h, _, off = words(text[lo:hi])
+            out[[lo + r for r, *_ in scan(h, off, index, overlap)]] = False
+        return pa.array(out)
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """*docs* without the documents that hold a benchmark item; rows with a null id stay."""
-    bad = cut(leaks(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("__bad")).distinct(), "bad")
-    return docs.join(fitted(bad, 16), docs[id_col] == F.col("__bad"), "left_anti")
+    return clean

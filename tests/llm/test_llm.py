@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import math
 import random
 import re
 from collections import Counter
@@ -203,6 +204,62 @@ def test_decontamination(spark, docs, texts):
     assert decontam.leaks(docs, items.limit(0)).count() == 0 and decontam.leaks(docs.limit(0), items).count() == 0
 
 
+def _leaks(texts, items, threshold=0.6, overlap=0.5, unit=128):
+    """{(doc, item): (score, question, answer, start)} from every window against every item, one by one."""
+    items = sorted({(i, t) for i, t in items if i is not None and t and _hashes(t)})
+    split = {x: [p.tolist() for p in np.array_split(np.array(_hashes(x[1]), np.uint64), max(1, -(-len(_hashes(x[1])) // unit)))] for x in items}
+    step = max(len(p) for ps in split.values() for p in ps)
+    n, average = len(items), sum(len(_hashes(t)) for _, t in items) / len(items)
+    df = Counter(h for _, t in items for h in set(_hashes(t)))
+    weight = {}
+    for x, ps in split.items():
+        for k, p in enumerate(ps):
+            w = {h: math.log(1 + (n - df[h] + 0.5) / (df[h] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(p) / average)) for h, tf in Counter(p).items()}
+            weight[x, k] = {h: v / sum(w.values()) for h, v in w.items()}
+    gram = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    out = {}
+    for d, t in texts.items():
+        w = _hashes(t)
+        for start in range(0, len(w) // step * step + 1, step):
+            window = set(w[start : start + 2 * step])
+            for (x, _), terms in weight.items():
+                score = sum(v for h, v in terms.items() if h in window)
+                if score < threshold - 1e-9:
+                    continue
+                q, a = (_hashes(p) for p in decontam.question_answer(x[1]))
+                k, size = 3 if min(len(q), len(a)) >= 3 else 1, len(_hashes(x[1]))
+                there = gram(w[max(0, start - size) : start + 2 * step + size], k)
+                shares = [len(gram(p, k) & there) / len(gram(p, k)) if gram(p, k) else 1.0 for p in (q, a)]
+                if min(shares) >= overlap and (-round(score, 9), start) < out.get((d, x[0]), (1,))[:2]:
+                    out[d, x[0]] = (-round(score, 9), start, *shares)
+    return {k: (-s, q, a, at) for k, (s, at, q, a) in out.items()}
+
+
+def test_decontamination_matches_brute_force(spark):
+    r = random.Random(12)
+    vocabulary = [_word(r) for _ in range(300)]
+    text = lambda n: " ".join(r.choice(vocabulary) + ("." if i % 9 == 8 else "") for i in range(n))
+    items = [(k, text(r.randint(8, 60))) for k in range(25)] + [(30, text(400)), (31, text(150)), (3, text(30)), (3, text(20)), (4, "two words"), (None, text(9)), (40, None), (41, "")]
+    texts = {i: text(r.randint(0, 500)) for i in range(30)}
+    for i in range(30, 90):  # whole items, parts of them, items with changed words
+        w = r.choice([t for _, t in items if t]).split()
+        w = w[: r.choice([len(w), len(w), len(w) // 2, 3 * len(w) // 4])]
+        w = [x if r.random() > 0.1 * (i % 4) else r.choice(vocabulary) for x in w]
+        texts[i] = " ".join([text(r.randint(0, 300)), *w, text(r.randint(0, 300))])
+    texts |= {90: "", 91: None, 92: items[25][1] + " " + text(3000) + " " + items[1][1], 93: items[28][1]}
+    df = spark.createDataFrame([(i, t, "x", 1.0) for i, t in texts.items()] + [(30, texts[30], "x", 1.0)], "doc_id long, text string, item_id string, score double").repartition(3)
+    bench = spark.createDataFrame([(i, t, "y", 2) for i, t in items] + [(0, items[0][1], "z", 3)], "item_id long, text string, doc_id string, term int")
+    want = _leaks(texts, items)
+    assert len(want) > 12 and (92, 30) in want and (92, 1) in want and (93, 3) in want
+    for size in (decontam.SHARD_BYTES, 1500):
+        got = {(x["doc_id"], x["item_id"]): tuple(x)[2:] for x in decontam.leaks(df, bench, shard_bytes=size).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    both = df.unionByName(df.withColumn("doc_id", F.lit(None).cast("long")))
+    clean = [i for i in [*texts, 30] if i not in {d for d, _ in want}]
+    assert sorted(x["doc_id"] for x in decontam.drop_contaminated(df, bench, shard_bytes=1500).collect()) == sorted(clean)
+    assert decontam.drop_contaminated(both, bench).where("doc_id is null").count() == len(clean)
+
+
 def test_wand_finds_what_full_scoring_finds():
     r = random.Random(2)
     vocabulary = [_word(r) for _ in range(60)]
@@ -223,53 +280,102 @@ def test_wand_finds_what_full_scoring_finds():
         assert all(abs(got[u] - full[u]) < 1e-9 for u in got)
 
 
+def _tokens(t):
+    return t.count(" ") + t.count("\n") + 1 if t else 0
+
+
 def test_mixing(spark, docs, texts):
     rows = mixing.schedule(docs, block_tokens=50).collect()
-    assert len({x["doc_id"] for x in rows}) == len(rows)
-    by_slot = sorted({(x["slot"], x["source"], x["block"]) for x in rows})
+    by = {}
+    for x in rows:
+        by.setdefault(x["doc_id"], []).append((x["from_token"], x["n_tokens"]))
+    assert by.keys() == texts.keys()
+    for i, pieces in by.items():  # the pieces make up the document
+        at = 0
+        for begin, n in sorted(pieces):
+            assert begin == at
+            at += n
+        assert at == _tokens(texts[i])
+    slots = {}
+    for x in rows:
+        assert slots.setdefault(x["slot"], (x["source"], x["block"])) == (x["source"], x["block"])
+    size = Counter()
+    for x in rows:
+        size[x["source"], x["block"]] += x["n_tokens"]
     for s in {x["source"] for x in rows}:
-        blocks = [b for _, z, b in by_slot if z == s]
-        assert blocks == sorted(blocks)
-    weights = {"s0": 0.5, "s1": 0.5}
+        blocks = [b for _, (z, b) in sorted(slots.items()) if z == s]
+        assert blocks == list(range(len(blocks))) and all(size[s, b] == 50 for b in blocks[:-1])
+    assert sorted(slots) == list(range(1, len(slots) + 1))
+    weights = {"s0": 0.5, "s1": 0.5, "none": 1, "s2": 0}
     fixed = mixing.schedule(docs, weights, block_tokens=50).collect()
-    assert {x["source"] for x in fixed} <= set(weights)
-    out = mixing.mixed(docs, block_tokens=50)
-    assert out.columns == docs.columns
-    assert {x["doc_id"] for x in out.collect()} == {x["doc_id"] for x in rows}
-    assert mixing.schedule(docs.limit(0)).count() == 0
+    assert {x["source"] for x in fixed} == {"s0", "s1"}
+    out = mixing.mixed(docs, block_tokens=50, files=3)
+    assert out.columns == docs.columns and out.rdd.getNumPartitions() == 3
+    assert Counter(tuple(x) for x in out.collect()) == Counter(tuple(x) for x in docs.collect())  # null ids and repeated rows too
+    first = {x["doc_id"]: (x["slot"], x["start_token"]) for x in rows if not x["from_token"]}
+    order = [first.get(x["doc_id"], (1 << 60, 0)) for x in out.collect()]
+    assert order == sorted(order)
+    assert {x["doc_id"] for x in mixing.mixed(docs, block_tokens=50, weights=weights).collect()} == {x["doc_id"] for x in fixed}
+    assert mixing.schedule(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_mixing_of_many_sources_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(common, "PREFIX_ROWS", 30)  # many stretches, buckets and parts
+    r = random.Random(3)
+    rows = [(i, "w " * r.choice([0, 3, 10, 60]) + "w", f"s{r.randrange(150) if i % 3 else 0}") for i in range(700)] + [(900, "", "empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    total = Counter()
+    for _, t, s in rows:
+        total[s] += _tokens(t)
+    w = {s: math.floor(math.sqrt(n) * mixing.UNIT) for s, n in sorted(total.items())}
+    blocks, whole, below, ranges = {s: max(1, -(-n // 40)) for s, n in total.items()}, sum(w.values()), 0, []
+    for s, x in w.items():
+        ranges.append((below * 2**32 // whole, (below + x) * 2**32 // whole, s))
+        below += x
+    slots = min(blocks[s] * whole // x for s, x in w.items() if x)
+    order, n = [], Counter()
+    for k in range(1, slots + 1):
+        s = next(s for a, b, s in ranges if a <= k * mixing.GOLDEN % 2**32 < b)
+        order.append((s, n[s]))
+        n[s] += 1
+    rest = sorted(((2 * (b - n[s]) + 1) / x if x else math.inf, s, b) for s, x in w.items() for b in range(n[s], blocks[s]))
+    order += [(s, b) for _, s, b in rest]
+    got = {x["slot"]: (x["source"], x["block"]) for x in mixing.schedule(df, block_tokens=40).collect()}
+    assert got == dict(enumerate(order, 1))
 
 
 def test_mixing_keeps_weights(spark):
-    rows = [(i, "w " * 30, "hot" if i % 4 else "cold") for i in range(2000)]
+    rows = [(i, "w " * (30 if i % 50 else 5000), "hot" if i % 4 else "cold") for i in range(2000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = mixing.schedule(df, {"hot": 0.7, "cold": 0.3}, block_tokens=310).groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()
+    got = mixing.schedule(df, {"hot": 0.7, "cold": 0.3}, block_tokens=310, whole=False).groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()
     total = {x["source"]: x["t"] for x in got}
-    assert abs(total["hot"] / sum(total.values()) - 0.7) < 0.02
+    assert abs(total["hot"] / sum(total.values()) - 0.7) < 0.01
+
+
+def test_points_do_not_overflow(spark):
+    for k in (1, 65_535, 2**32 + 7, 2**40 + 12345):
+        p = mixing._points(1, spark).select((F.col("slot") - 1 + k).alias("slot"))
+        low, high = F.col("slot").bitwiseAND(0xFFFF) * mixing.GOLDEN, F.shiftright(F.col("slot"), 16).bitwiseAND(0xFFFF) * mixing.GOLDEN
+        assert p.select((low + F.shiftleft(high.bitwiseAND(0xFFFF), 16)).bitwiseAND(0xFFFFFFFF)).head()[0] == k * mixing.GOLDEN % 2**32
 
 
 def test_whole_mixing_drops_nothing(spark):
     rows = [(i, "w " * 30, "abc"[i % 3]) for i in range(900)] + [(900, "one w", "scarce"), (901, "x y", None), (902, "", "empty"), (903, "w " * 900, "long")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
-    taken = mixing.schedule(df, block_tokens=100).collect()
-    assert len(taken) < 0.9 * len(rows)
-    got = mixing.schedule(df, block_tokens=100, whole=True).collect()
-    assert sorted(x["doc_id"] for x in got) == list(range(904)) and set(taken) <= set(got)
-    slots = {}
-    for x in got:
-        assert slots.setdefault(x["slot"], (x["source"], x["block"])) == (x["source"], x["block"])
-    for s in "abc":  # blocks in order, and each source has a third of what the schedule leaves
-        blocks = [b for _, (z, b) in sorted(slots.items()) if z == s]
-        assert blocks == sorted(blocks) and len(blocks) == len(set(blocks))
+    taken = mixing.schedule(df, block_tokens=100, whole=False).collect()
+    assert len({x["doc_id"] for x in taken}) < 0.9 * len(rows)
+    got = mixing.schedule(df, block_tokens=100).collect()
+    assert {x["doc_id"] for x in got} == set(range(904)) and set(taken) <= set(got)
+    slots = {x["slot"]: x["source"] for x in got}
     last = max(x["slot"] for x in taken)
-    rest = [z for k, (z, _) in sorted(slots.items()) if k > last][:48]
-    assert len(rest) == 48 and all(abs(rest.count(s) - 16) <= 2 for s in "abc")
-    assert {x["doc_id"] for x in mixing.mixed(df, block_tokens=100, whole=True).collect()} == set(range(904))
-    weighed = mixing.schedule(df, {"a": 0.5, "scarce": 0.5}, block_tokens=100, whole=True).collect()
+    rest = [slots[k] for k in range(last + 1, last + 49)]
+    assert all(abs(rest.count(s) - 16) <= 2 for s in "abc")  # a third of what the schedule leaves each
+    assert {x["doc_id"] for x in mixing.mixed(df, block_tokens=100).collect()} == set(range(904))
+    weighed = mixing.schedule(df, {"a": 0.5, "scarce": 0.5}, block_tokens=100).collect()
     assert {x["doc_id"] for x in weighed} == {x[0] for x in rows if x[2] in ("a", "scarce")}
-    assert mixing.schedule(df.limit(0), whole=True).count() == 0
 
 
-def test_sharding(spark, docs):
+def test_sharding(spark, docs, tmp_path):
     got = sorted(sharding.shards(docs, 1000).collect(), key=lambda x: (x["doc_id"] is not None, x["doc_id"] or 0, x["n_bytes"]))
     start, total = 0, sum(x["n_bytes"] for x in got)
     count = -(-total // 1000)
@@ -277,8 +383,18 @@ def test_sharding(spark, docs):
         assert x["byte_start"] == start and x["shard"] == min(start * count // total, count - 1)
         start += x["n_bytes"]
     out = sharding.sharded(docs, 1000)
-    assert out.columns == [c for c in docs.columns if c != "shard"] + ["shard", "byte_start"] and out.count() == docs.count()
-    assert sharding.shards(docs.limit(0)).count() == 0
+    assert out.columns == [*docs.columns, "shard_2", "byte_start"] and {x["shard"] for x in out.collect()} <= {"s", None}
+    stored = [(x["n_bytes"], x["byte_start"]) for x in out.select(F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"), "byte_start").orderBy("byte_start", "n_bytes").collect()]
+    assert len(stored) == docs.count() and all(b == a + n for (n, a), (_, b) in zip(stored, stored[1:]))
+    made = sharding.sharded(docs.select("doc_id", F.upper("text").alias("text")).where("doc_id < 9"), 1000)  # not read straight from files
+    assert made.columns == ["doc_id", "text", "shard", "byte_start"] and made.count() == docs.where("doc_id < 9").count()
+    assert sharding.shards(docs.limit(0)).count() == 0 and sharding.sharded(docs.limit(0)).count() == 0
+    for k in (99_999, 100_000):
+        spark.createDataFrame([(k, "x" * 10)], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / str(k)))
+    (tmp_path / "all").mkdir()
+    for k in (99_999, 100_000):
+        next((tmp_path / str(k)).glob("part*")).rename(tmp_path / f"all/part-{k}.parquet")
+    assert {x["doc_id"]: x["byte_start"] for x in sharding.sharded(spark.read.parquet(str(tmp_path / "all"))).collect()} == {99_999: 0, 100_000: 10}
 
 
 def test_quotient_filter(spark, docs, texts):
