@@ -67,5 +67,20 @@ def running_sum(df: DataFrame, group: list[str], bucket: str, order: list[str],
     )
 
 
+def global_sum(df: DataFrame, order: list[str], value: str, out: str, ties: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(*df* with *out*: the sum of *value* over all rows before by *order*, then *ties*; the total).
+
+    Rows are range-partitioned by their order; the partitions' totals, one row each, give each the sum before it.
+    """
+    parts = max(1, -(-df.count() // PREFIX_ROWS))
+    ranged = cut(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranged")
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    totals = ranged.groupBy("__part").agg(F.sum(value).alias("__t"))
+    base = cut(totals.select("__part", F.coalesce(F.sum("__t").over(ahead), F.lit(0)).alias("__base"), "__t"), "base")
+    before = Window.partitionBy("__part").orderBy(*order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.join(fitted(base.drop("__t"), 24), "__part").withColumn(out, F.col("__base") + F.coalesce(F.sum(value).over(before), F.lit(0)))
+    return placed.drop("__part", "__base"), int(base.agg(F.sum("__t").alias("t")).head()["t"] or 0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,31 +3,35 @@
 Slot k of the schedule goes to the source whose share of the cumulative weights holds the
 golden-ratio point frac(k * phi) (in 32-bit integers, so that any engine gets the same),
 and is the r-th slot of that source.  Each source is shuffled by a hash of its ids and cut
-into blocks of equal tokens; the r-th slot takes the r-th block.  Without weights a source
-weighs as the square root of its tokens.  The schedule ends when a source has no block for
-its next round: at min(blocks / weight) slots.  So every prefix keeps the weights, and no
-document comes twice.  With *whole* the blocks left then get the slots after it, the n-th left of a
-source at time (n - 1/2) / weight: sources run dry one by one, and the rest keep their weights to each other.
+into blocks of equal tokens, through documents where need be (only a source's last block is shorter); the r-th slot takes the r-th block.
+Without weights a source weighs as the square root of its tokens.  The weights hold exactly up to the slot at which the first source has no
+block for its next round, min(blocks / weight).  The blocks left then get the slots after it, the n-th left of a
+source at time (n - 1/2) / weight: sources run dry one by one, and the rest keep their weights to each other, so no token is lost.
+With *whole* false the schedule ends there instead.
+
+Any number of sources will do: their totals, ranges and slots are tables, points meet ranges in an as-of merge by stretches of the circle.
 
 A token is a piece between spaces or line ends.  Defined cases: a null or empty text has no
-tokens and stays with its neighbours' block; a null source is the source ''; a null id is left out; repeated rows
-of an id are one document (its source and its most tokens); sources without tokens or
-weight are left out (with *whole* and no weights given, those without tokens come last); ties of the hash and of times go by id and source; an empty table gives an empty schedule.
+tokens and stays with its neighbours' block; a null source is the source ''; a null id is left out (``mixed`` puts such rows last); repeated rows
+of an id are one document (its source and its most tokens), and ``mixed`` keeps all of them, side by side; sources that given weights don't name, or weigh 0,
+are left out, those without tokens come last if no weights are given; ties of the hash and of times go by id and source; texts of any length count whole; other columns are kept by ``mixed`` and else not
+looked at; an empty table gives an empty schedule.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PREFIX_ROWS, cut, fitted, running_sum
+from . import common
+from .common import cut, fitted, global_sum, running_sum
 
 BLOCK_TOKENS = 2048
 GOLDEN = 2654435769  # 2**32 / phi
-#: Sources are mixture components; their totals go to the driver.
-MOST_SOURCES = 100_000
+#: Weights are whole multiples of 1 / UNIT, so that their sums are exact.
+UNIT = 1 << 20
+#: Tokens of a file that ``mixed`` makes, about.
+FILE_TOKENS = 1 << 24
 
 
 def tokens(text: Column) -> Column:
@@ -37,8 +41,27 @@ def tokens(text: Column) -> Column:
     return F.when(F.coalesce(size, F.lit(0)) == 0, F.lit(0)).otherwise(gaps + 1).cast("long")
 
 
-def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", whole: bool = False) -> DataFrame:
-    """(doc_id, source, slot, block, n_tokens, start_token) of the documents that the schedule takes, or of all (*whole*); within a slot they go by start_token."""
+def _points(slots: int, spark) -> DataFrame:
+    """(slot, u): the low 32 bits of slot * GOLDEN, without an overflow."""
+    k = F.col("slot")
+    low, high = k.bitwiseAND(0xFFFF) * GOLDEN, F.shiftright(k, 16).bitwiseAND(0xFFFF) * GOLDEN
+    u = (low + F.shiftleft(high.bitwiseAND(0xFFFF), 16)).bitwiseAND(0xFFFFFFFF)
+    return spark.range(1, slots + 1).select(F.col("id").alias("slot")).withColumn("u", u)
+
+
+def _assigned(points: DataFrame, sources: DataFrame, rows: int) -> DataFrame:
+    """(slot, source) by the range [low, high) of the circle that holds a point, merged in stretches of about PREFIX_ROWS points and ranges."""
+    width = (1 << 32) >> max(0, min(32, (-(-rows // common.PREFIX_ROWS) - 1).bit_length()))
+    starts = sources.where("high > low").withColumn("stretch", F.explode(F.expr(f"sequence(low div {width}, (high - 1) div {width})")))
+    starts = starts.select("stretch", F.greatest("low", F.col("stretch") * width).alias("u"), F.lit(None).cast("long").alias("slot"), "source")
+    points = points.select(F.expr(f"u div {width}").alias("stretch"), "u", "slot", F.lit(None).cast("string").alias("source"))
+    so_far = Window.partitionBy("stretch").orderBy("u", F.col("slot").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    return starts.unionByName(points).withColumn("source", F.last("source", ignorenulls=True).over(so_far)).where("slot is not null").select("slot", "source")
+
+
+def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", whole: bool = True) -> DataFrame:
+    """(doc_id, source, slot, block, from_token, n_tokens, start_token): the pieces of documents in each slot's block, in the order of
+    start_token (a piece's place in its source); from_token is the piece's place in its document."""
     spark = docs.sparkSession
     mix_hash = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 15), 16, 10).cast("long")
     sized = (
@@ -49,54 +72,60 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_tok
         .withColumn("h", mix_hash)
     )
     sized = cut(sized, "sized")
-    totals = {r["source"]: r["t"] for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("t")).limit(MOST_SOURCES + 1).collect()}
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    weight = {s: (math.sqrt(t) if weights is None else weights.get(s, 0.0)) for s, t in totals.items() if t}
-    weight = {s: w / sum(weight.values()) for s, w in sorted(weight.items()) if w > 0}
-    blocks = {s: (totals[s] - 1) // block_tokens + 1 for s in weight}
-    slots = int(min((blocks[s] / w for s, w in weight.items()), default=0))
-    ranges, low = [], 0.0
-    for s, w in weight.items():
-        ranges.append((s, math.floor(low * 2**32), math.floor((low + w) * 2**32)))
-        low += w
-    if ranges:
-        ranges[-1] = (*ranges[-1][:2], 2**32)
-    sources = F.broadcast(spark.createDataFrame(ranges, "source string, low long, high long").coalesce(1))  # MOST_SOURCES rows at most
-    rows = sized.count()
-    bits = max(0, math.ceil(math.log2(max(1, rows) / PREFIX_ROWS)))
-    points = spark.range(1, slots + 1).select(F.col("id").alias("slot"), ((F.col("id") * GOLDEN) % 2**32).alias("u"))
-    points = points.join(sources, (F.col("u") >= F.col("low")) & (F.col("u") < F.col("high"))).select("slot", "source", F.expr(f"slot div {PREFIX_ROWS}").alias("bucket"), F.lit(1).cast("long").alias("one"))
+    totals = sized.groupBy("source").agg(F.sum("n_tokens").alias("t"))
+    if weights is None:
+        totals = totals.withColumn("w", F.floor(F.sqrt(F.col("t").cast("double")) * float(UNIT)).cast("long"))
+    else:
+        given = spark.createDataFrame([(s, int(w * UNIT)) for s, w in weights.items() if w * UNIT >= 1], "source string, w long").coalesce(1)
+        totals = totals.where("t > 0").join(given, "source")
+    totals = totals.withColumn("blocks", F.greatest(F.lit(1), F.expr(f"(t - 1) div {block_tokens} + 1")).cast("long"))
+    totals, weight = global_sum(cut(totals, "totals"), ["source"], "w", "below")
+    on_circle = lambda x: F.expr(f"cast(cast({x} as decimal(20,0)) * cast(4294967296 as decimal(10,0)) div cast({max(weight, 1)} as decimal(20,0)) as bigint)")
+    sources = cut(totals.select("source", "w", "blocks", on_circle("below").alias("low"), on_circle("below + w").alias("high")), "sources")
+    ends = sources.agg(F.min(F.expr(f"case when w > 0 then cast(blocks as decimal(20,0)) * cast({max(weight, 1)} as decimal(18,0)) div w end")).alias("slots"), F.count("*").alias("n")).head()
+    slots = int(ends["slots"] or 0)
+    points = _assigned(_points(slots, spark), sources, slots + ends["n"])
+    points = points.select("slot", "source", F.expr(f"slot div {common.PREFIX_ROWS}").alias("bucket"), F.lit(1).cast("long").alias("one"))
     ranked = running_sum(points, ["source"], "bucket", ["slot"], "one", "block").select("source", "slot", "block")
-    placed = running_sum(sized.withColumn("bucket", F.shiftright("h", 60 - bits) if bits else F.lit(0).cast("long")), ["source"], "bucket", ["h", "doc_id"], "n_tokens", "start_token")
-    placed = placed.withColumn("block", F.expr(f"start_token div {block_tokens}"))
+    bits = max(0, (-(-sized.count() // common.PREFIX_ROWS) - 1).bit_length())
+    placed = running_sum(sized.withColumn("bucket", F.shiftright("h", 60 - bits) if bits else F.lit(0).cast("long")), ["source"], "bucket", ["h", "doc_id"], "n_tokens", "start")
     if whole:
         ranked = cut(ranked, "ranked")
-        ranked = ranked.unionByName(_left(placed.select("source", "block").distinct(), ranked, weight, slots, keep_rest=weights is None))
-    return placed.join(ranked, ["source", "block"]).select("doc_id", "source", "slot", "block", "n_tokens", "start_token")
+        ranked = ranked.unionByName(_left(sources, ranked, slots))
+    # a document's pieces; what has no tokens goes with what is before it at the end of a source
+    placed = placed.join(fitted(sources.select("source", "blocks"), 64), "source")
+    first, last = F.expr(f"least(start div {block_tokens}, blocks - 1)"), F.expr(f"least(greatest(start + n_tokens - 1, start) div {block_tokens}, blocks - 1)")
+    pieces = placed.withColumn("block", F.explode(F.sequence(first, last)))
+    begin = F.greatest(F.col("start"), F.col("block") * block_tokens)
+    pieces = pieces.select("doc_id", "source", "block", (begin - F.col("start")).alias("from_token"), (F.least(F.col("start") + F.col("n_tokens"), (F.col("block") + 1) * block_tokens) - begin).alias("n_tokens"), begin.alias("start_token"))
+    return pieces.join(ranked, ["source", "block"]).select("doc_id", "source", "slot", "block", "from_token", "n_tokens", "start_token")
 
 
-def _left(blocks: DataFrame, ranked: DataFrame, weight: dict[str, float], slots: int, keep_rest: bool) -> DataFrame:
+def _left(sources: DataFrame, ranked: DataFrame, slots: int) -> DataFrame:
     """(source, slot, block) of the blocks without a slot in *ranked*, from *slots* + 1 on."""
-    spark = blocks.sparkSession
-    weighed = spark.createDataFrame(list(weight.items()), "source string, w double").coalesce(1)
-    used = ranked.groupBy("source").agg((F.max("block") + 1).alias("used"))
-    left = blocks.join(F.broadcast(weighed), "source", "left" if keep_rest else "inner").join(F.broadcast(used), "source", "left")
-    left = left.withColumn("n", F.col("block") - F.coalesce("used", F.lit(0))).where("n >= 0")
-    left = cut(left.select("source", "block", ((F.col("n") + 0.5) / F.col("w")).alias("time")), "left")
+    rows = common.PREFIX_ROWS
+    used = ranked.groupBy("source").agg(F.count("*").alias("used"))
+    left = sources.join(used, "source", "left").select("source", "w", "blocks", F.coalesce("used", F.lit(0)).alias("used")).where("used < blocks")
+    left = left.withColumn("k", F.explode(F.expr(f"sequence(used div {rows}, (blocks - 1) div {rows})")))  # two steps, so that no array is long
+    left = left.withColumn("block", F.explode(F.expr(f"sequence(greatest(used, k * {rows}), least(blocks, (k + 1) * {rows}) - 1)")))
+    time = F.when(F.col("w") > 0, (2 * (F.col("block") - F.col("used")) + 1).cast("double") / F.col("w"))
+    left = cut(left.select("source", "block", time.alias("time")), "left")
     end = left.agg(F.max("time")).head()[0] or 1.0
     at = F.coalesce("time", F.lit(2 * end))  # sources without tokens
-    pieces = max(1, -(-left.count() // PREFIX_ROWS))
+    pieces = max(1, -(-left.count() // rows))
     left = left.select("source", "block", at.alias("time"), F.least(F.floor(at / end * pieces), F.lit(pieces)).cast("long").alias("bucket"), F.lit(1).cast("long").alias("one"), F.lit(0).alias("all"))
     placed = running_sum(left, ["all"], "bucket", ["time", "source", "block"], "one", "before")
     return placed.select("source", (F.col("before") + slots + 1).alias("slot"), "block")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", files: int = 0, **options) -> DataFrame:
-    """The documents that the schedule takes, with the columns of *docs*, in the schedule's order (by partitions, and within each)."""
-    taken = cut(schedule(docs, id_col=id_col, **options).select(F.col("doc_id").alias("__taken"), F.col("slot").alias("__slot"), F.col("start_token").alias("__start")), "mix")
-    end = taken.agg(F.max("__slot").alias("m")).head()["m"] or 1
-    files = files or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.join(fitted(taken, 32), docs[id_col] == F.col("__taken"))
+def mixed(docs: DataFrame, id_col: str = "doc_id", files: int = 0, weights: dict[str, float] | None = None, whole: bool = True, **options) -> DataFrame:
+    """The documents, whole, in the order of the schedule (by partitions, and within each), each where its first piece is; its columns are those of *docs*.
+
+    All rows of *docs* are kept, but those that weights leave out or that come after the end if *whole* is false."""
+    first = schedule(docs, weights, id_col=id_col, whole=whole, **options).where("from_token = 0")
+    taken = cut(first.select(F.col("doc_id").alias("__taken"), F.col("slot").alias("__slot"), F.col("start_token").alias("__start")), "mix")
+    end = (taken.agg(F.max("__slot").alias("m")).head()["m"] or 0) + 1
+    files = files or -(-end * options.get("block_tokens", BLOCK_TOKENS) // FILE_TOKENS)
+    rows = docs.join(fitted(taken, 32), docs[id_col] == F.col("__taken"), "left" if whole and weights is None else "inner").withColumn("__slot", F.coalesce("__slot", F.lit(end)))
     to = F.least(F.expr(f"cast((__slot - 1) * {files} div {end} as int)"), F.lit(files - 1))
     return rows.repartitionById(files, to).sortWithinPartitions("__slot", "__start", "__taken").drop("__taken", "__slot", "__start")

@@ -58,15 +58,20 @@ with d as (
   from documents where doc_id is not null group by doc_id),
 h as (select *, ('0x' || substr(md5('42|' || doc_id), 1, 15))::bigint as h from d),
 p as (select *, (coalesce(sum(n_tokens) over (partition by source order by h, doc_id rows between unbounded preceding and 1 preceding), 0))::bigint as start_token from h),
-t as (select source, sum(n_tokens)::bigint as t from d group by source having sum(n_tokens) > 0),
-w as (select source, (t - 1) // {mixing.BLOCK_TOKENS} + 1 as blocks, sqrt(t) / sum(sqrt(t)) over () as w from t),
-c as (select *, coalesce(sum(w) over (order by source rows between unbounded preceding and 1 preceding), 0) as below, row_number() over (order by source desc) as back from w),
-r as (select source, floor(below * 4294967296)::bigint as low, case when back = 1 then 4294967296 else floor((below + w) * 4294967296)::bigint end as high from c),
-k as (select cast(floor(min(blocks / w)) as bigint) as k from w),
+t as (select source, sum(n_tokens)::bigint as t, floor(sqrt(sum(n_tokens)::double) * {mixing.UNIT}.0)::bigint as w, greatest(1, (sum(n_tokens)::bigint - 1) // {mixing.BLOCK_TOKENS} + 1) as blocks from d group by source),
+c as (select *, coalesce(sum(w) over (order by source rows between unbounded preceding and 1 preceding), 0)::hugeint as below, greatest(1, sum(w) over ())::hugeint as total from t),
+r as (select source, w, blocks, total, (below * 4294967296 // total)::bigint as low, ((below + w) * 4294967296 // total)::bigint as high from c),
+k as (select coalesce(min(blocks * total // w), 0)::bigint as k from r where w > 0),
 s as (select unnest(range(1, k + 1)) as slot from k),
-u as (select slot, source, row_number() over (partition by source order by slot) - 1 as block from s join r on (slot * {mixing.GOLDEN}) % 4294967296 >= low and (slot * {mixing.GOLDEN}) % 4294967296 < high)
-select p.doc_id, p.source, u.slot::bigint as slot, u.block::bigint as block, p.n_tokens, p.start_token
-from p join u on p.source = u.source and p.start_token // {mixing.BLOCK_TOKENS} = u.block""",
+u as (select slot, source, row_number() over (partition by source order by slot) - 1 as block from s join r on (slot * {mixing.GOLDEN}) % 4294967296 >= low and (slot * {mixing.GOLDEN}) % 4294967296 < high),
+n as (select r.source, w, blocks, count(slot) as used from r left join u on r.source = u.source group by all),
+l as (select source, w, used, unnest(range(used, blocks)) as block from n),
+v as (select source, k + row_number() over (order by case when w > 0 then (2 * (block - used) + 1)::double / w end nulls last, source, block) as slot, block from l, k),
+a as (select source, slot, block from u union all select source, slot, block from v),
+q as (select p.*, unnest(range(least(start_token // {mixing.BLOCK_TOKENS}, blocks - 1), least(greatest(start_token + n_tokens - 1, start_token) // {mixing.BLOCK_TOKENS}, blocks - 1) + 1)) as block from p join t using (source))
+select q.doc_id, q.source, a.slot::bigint as slot, q.block::bigint as block, greatest(start_token, q.block * {mixing.BLOCK_TOKENS}) - start_token as from_token,
+  least(start_token + n_tokens, (q.block + 1) * {mixing.BLOCK_TOKENS}) - greatest(start_token, q.block * {mixing.BLOCK_TOKENS}) as n_tokens, greatest(start_token, q.block * {mixing.BLOCK_TOKENS}) as start_token
+from q join a on q.source = a.source and q.block = a.block""",
     "op4_tool_call_chats": """
 with t as (select conv_id, turn, role, text, max(case when role = 'user' then turn end) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as last from conversations),
 r as (select conv_id, last, list(text order by turn) as said from t where role = 'assistant' group by all),

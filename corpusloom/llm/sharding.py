@@ -6,15 +6,17 @@ sums go on.  A row belongs to the shard in which its first byte lies, when all b
 at equal targets.  Only ids and sizes move, not the texts.
 
 Defined cases: a null or empty text has no bytes and lies where the next row begins (after the
-last byte: in the last shard); null ids come first; ties of the order go by size; an empty table has no shards.
+last byte: in the last shard); texts of any length stay whole; null ids come first; ties of the order, repeated rows among them, go by size; an empty table has no shards.
+``sharded`` leaves a column of the table that is called shard or byte_start as it is, and calls its own shard_2 or byte_start_2 (and so on) then.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PREFIX_ROWS, cut, fitted
+from .common import cut, fitted, global_sum
 
 TARGET_BYTES = 8 << 20
 
@@ -22,22 +24,28 @@ TARGET_BYTES = 8 << 20
 def shards(docs: DataFrame, target_bytes: int = TARGET_BYTES, order: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """(*order, n_bytes, byte_start, shard); shards hold total / ceil(total / target_bytes) bytes each, but for the row across a cut."""
     sized = cut(docs.select(*order, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes")), "bytes")
-    parts = max(1, -(-sized.count() // PREFIX_ROWS))
-    ranged = cut(sized.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranged")
-    totals = ranged.groupBy("__part").agg(F.sum("n_bytes").alias("__t"))
-    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    base = cut(totals.select("__part", F.coalesce(F.sum("__t").over(ahead), F.lit(0)).alias("__base"), "__t"), "base")
-    total = base.agg(F.sum("__t").alias("t")).head()["t"] or 0
+    placed, total = global_sum(sized, list(order), "n_bytes", "byte_start", ("n_bytes",))
     count = max(1, -(-total // target_bytes))
-    before = Window.partitionBy("__part").orderBy(*order, "n_bytes").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.join(fitted(base, 24), "__part").withColumn("byte_start", F.col("__base") + F.coalesce(F.sum("n_bytes").over(before), F.lit(0)))
     shard = F.least(F.expr(f"byte_start * {count} div {max(total, 1)}"), F.lit(count - 1)).cast("long")
     return placed.select(*order, "n_bytes", "byte_start", shard.alias("shard"))
 
 
+def free(name: str, columns: list[str]) -> str:
+    """*name*, with the first number from 2 on that makes it a new one if it's taken (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    return next(c for c in [name, *(f"{name}_{k}" for k in range(2, len(taken) + 3))] if c not in taken)
+
+
 def sharded(docs: DataFrame, target_bytes: int = TARGET_BYTES, text_col: str = "text") -> DataFrame:
-    """*docs*, read from files, with ``shard`` and ``byte_start`` in the order of the stored table (file, then row)."""
-    stored = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")) 
-    at = cut(shards(stored, target_bytes, ("__file", "__row"), text_col).select("__file", "__row", "shard", "byte_start"), "shards")
-    clash = [c for c in docs.columns if c in ("shard", "byte_start")]
-    return stored.drop(*clash).join(fitted(at, 160), ["__file", "__row"]).drop("__file", "__row")
+    """*docs* with ``shard`` and ``byte_start`` in the order of the stored table: file (by length of the path, so that part-100000 comes after part-99999, then path), then row.
+
+    A table that isn't read straight from files is written to the shared folder first, and has the order in which it was written."""
+    try:
+        stored = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        docs = cut(docs, "stored")
+        stored = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    names = {k: free(k, docs.columns) for k in ("shard", "byte_start")}
+    placed = shards(stored.select(F.length("__file").alias("__size"), "__file", "__row", F.col(text_col).alias("__text")), target_bytes, ("__size", "__file", "__row"), "__text")
+    at = cut(placed.select("__file", "__row", F.col("shard").alias(names["shard"]), F.col("byte_start").alias(names["byte_start"])), "shards")
+    return stored.join(fitted(at, 160), ["__file", "__row"]).drop("__file", "__row")
