@@ -30,17 +30,30 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Folders that ``cut`` wrote, in the order of writing.
+written: list[str] = []
+
+
 def cut(df: DataFrame, tag: str = "t") -> DataFrame:
-    """Write *df* to the shared folder and read it again: short lineage that outlives executors."""
+    """Write *df* to the shared folder and read it again: short lineage that outlives executors.  The folder goes with the application, or by ``discard``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loom-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of ``cut`` that nothing reads any more."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        written.remove(path)
+
+
 def fitted(small: DataFrame, row_bytes: int, lists: tuple[str, ...] = ()) -> DataFrame:
     """*small* (a cut table) with a broadcast hint if its rows, of *row_bytes* and the elements (8 bytes) of *lists*, measure little enough; otherwise as it is, for a join that sorts and spills."""
     each = F.lit(row_bytes)

@@ -5,17 +5,19 @@ Found are all passages of ``min_words`` words or more that occur twice, within o
 1. Every such passage holds a winnowed 16-word anchor (the smallest hash among those of any
    ``min_words`` words) that both places choose alike.  Anchors that occur once are dropped: no
    suffix around them can have a neighbour with a long common prefix.  Equal texts count once here.
-2. The words around each remaining anchor (as many as a passage that holds it can reach) go to the
-   anchor's shard.  A shard's contexts, equal ones once, form one text.  The suffixes of its difference-cover sample
+2. The words around each remaining anchor (as many as a passage that holds it can reach) are its context.  Equal
+   contexts are made one before the exchange, with their smallest id, so that a passage of very many copies is one row.
+   They go to the anchor's shard, whose contexts form one text.  The suffixes of its difference-cover sample
    (6 of 31 positions) are ranked first, by prefix doubling.  Then the suffixes are sorted one block at
    a time, a block being those that start at one offset: by their first 31 words, and ties by the
    ranks of the sample suffixes that the cover puts at the same distance from each.  Memory is bounded by the
-   shard's text, the sample's ranks and one block.
-3. Neighbours that share ``min_words`` words repeat; their windows are joined to passages.
+   shard's text, the sample's ranks and one block.  An anchor with more than HOT different contexts, which would make a
+   shard too large, is left to a plain count of its windows over all executors instead, to the same result.
+3. Neighbours that share ``min_words`` words repeat; their windows are joined to passages, and those to the places of their context.
 
 Defined cases: words are as in ``tokens``; null or short texts have no passages; null ids are left out;
-repeated rows of an id with one text count once; a document with an equal twin repeats
-in full if it has ``min_words`` words; ties keep the smallest id; an empty table gives no rows.
+repeated rows of an id with one text count once, other texts of an id are texts of their own; a document with an equal twin repeats
+in full if it has ``min_words`` words; ties keep the smallest id; texts of any length are searched whole; other columns aren't looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, fitted
-from .tokens import rolling, slices, words
+from .tokens import raw, rolling, slices, word_places, words
 
 MIN_WORDS = 50
 ANCHOR = 16
@@ -38,6 +40,8 @@ ANCHOR = 16
 COVER, SAMPLE = 31, (1, 5, 11, 24, 25, 27)
 #: Contexts that one shard sorts, about.
 SHARD_CONTEXTS = 5_000
+#: Different contexts of one anchor, beyond which its windows are counted instead.
+HOT = 50_000
 
 
 def anchors(h: np.ndarray, off: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,30 +81,41 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterat
             )
 
 
-def _context_batches(batches: Iterator[pa.RecordBatch], min_words: int, shards: int) -> Iterator[pa.RecordBatch]:
+def _context_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     left = min_words - ANCHOR
     width = left + min_words
     for batch in batches:
-        for lo, hi in slices(batch.column(1), 1 << 19):
-            h, _, off = words(batch.column(1)[lo:hi])
+        for lo, hi in slices(batch.column(2), 1 << 19):
+            h, _, off = words(batch.column(2)[lo:hi])
             fp = rolling(h, ANCHOR)
-            live = batch.column(2)[lo:hi]
+            live = batch.column(3)[lo:hi]
             pos = live.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             row = np.repeat(np.arange(hi - lo), live.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
             ok = pos + off[row] + ANCHOR <= off[row + 1]
             pos, row = pos[ok], row[ok]
-            ids = batch.column(0)[lo:hi].to_numpy(zero_copy_only=False)[row]
+            ids, th = (batch.column(k)[lo:hi].to_numpy(zero_copy_only=False)[row] for k in (0, 1))
             for some in np.array_split(np.arange(len(pos)), max(1, len(pos) // 5_000)):
                 p, r = pos[some], row[some]
                 at = (off[r] + p - left)[:, None] + np.arange(width)
                 there = (at >= off[r][:, None]) & (at < off[r + 1][:, None])
                 w = np.where(there, h[np.clip(at, 0, len(h) - 1)] >> np.uint64(32), 0).astype(np.uint32) | np.uint32(1)
                 w[~there] = 0  # beyond the text
-                f = fp[off[r] + p]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((f % np.uint64(shards)).astype(np.int32)), pa.array(ids[some]), pa.array(p.astype(np.int32)), pa.array([x.tobytes() for x in w], pa.binary())],
-                    ["shard", "doc", "pos", "words"],
-                )
+                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * width), len(w), [None, pa.py_buffer(np.ascontiguousarray(w))]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(fp[off[r] + p].view(np.int64)), pa.array(ids[some]), pa.array(th[some]), pa.array(p.astype(np.int32)), flat], ["fp", "doc", "th", "pos", "words"])
+
+
+def _window_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Every whole window of each context."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 2_000):
+            part = batch.slice(lo, 2_000)
+            w = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(part.num_rows, -1)
+            for o in range(min_words - ANCHOR + 1):
+                window = np.ascontiguousarray(w[:, o : o + min_words])
+                has = np.flatnonzero((window != 0).all(axis=1))
+                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * min_words), len(has), [None, pa.py_buffer(np.ascontiguousarray(window[has]))]).cast(pa.binary())
+                take = lambda k: part.column(k).take(pa.array(has))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([flat, take(0), pa.array(np.full(len(has), o)), take(2), take(3)], ["window", "kind", "o", "least", "copies"])
 
 
 def _names(rows: np.ndarray) -> np.ndarray:
@@ -205,28 +220,17 @@ def _by_first_word(text: Text, contexts: np.ndarray, o: int, block_size: int) ->
 
 
 def _sort_shard(t: pa.Table, min_words: int) -> pa.Table:
-    doc, pos = t["doc"].to_numpy(), t["pos"].to_numpy().astype(np.int64)
-    _, one = np.unique(np.stack([doc, pos], axis=1), axis=0, return_index=True)
-    doc, pos = doc[one], pos[one]
-    w = np.frombuffer(b"".join(t["words"].take(pa.array(one)).to_pylist()), np.uint32).reshape(len(one), -1)
-    _, first_of, kind, copies = np.unique(np.ascontiguousarray(w).view(f"V{4 * w.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True)
-    least = np.full(len(first_of), np.iinfo(np.int64).max)
-    np.minimum.at(least, kind, doc)
-    c, o, first = spans_of(*repeated_windows(least, copies, w[first_of], min_words), min_words)
-    # each place of a context has the context's spans
-    begin, end = np.searchsorted(c, kind), np.searchsorted(c, kind, "right")
-    n = end - begin
-    at = np.repeat(np.arange(len(kind)), n)
-    k = np.repeat(begin, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-    start = pos[at] - (min_words - ANCHOR) + o[0][k]
-    d, p, e, f = spans(doc[at], start, start + o[1][k], first[k])
-    return pa.table({"doc": pa.array(d, pa.int64()), "start_word": pa.array(p, pa.int64()), "end_word": pa.array(e, pa.int64()), "first": pa.array(f, pa.int64())})
+    """(kind, o, n, first): the passages of each context, from word *o* of it on."""
+    w = np.frombuffer(b"".join(t["words"].to_pylist()), np.uint32).reshape(t.num_rows, -1)
+    c, (o, n), first = spans_of(*repeated_windows(t["least"].to_numpy(), t["copies"].to_numpy(), w, min_words), min_words)
+    return pa.table({"kind": t["kind"].take(pa.array(c)), "o": pa.array(o, pa.int64()), "n": pa.array(n, pa.int64()), "first": pa.array(first, pa.int64())})
 
 
 def spans_of(c: np.ndarray, o: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
-    """Windows of contexts to (context, (offset, length), smallest doc), sorted by context."""
-    c, a, b, first = spans(c, o, o + min_words, first)
-    return c, (a, b - a), first
+    """Windows of contexts to (context, (offset, length), smallest doc), one by one for each smallest doc."""
+    ids, of = np.unique(first, return_inverse=True)
+    key, a, b, first = spans(c * max(1, len(ids)) + of.ravel(), o, o + min_words, first)
+    return key // max(1, len(ids)), (a, b - a), first
 
 
 def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -246,32 +250,93 @@ def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray
 
 
 def _merge_spans(t: pa.Table) -> pa.Table:
-    d, s, e, f = spans(*(t[c].to_numpy() for c in ("doc", "start_word", "end_word", "first")))
-    return pa.table({"doc": d, "start_word": s, "end_word": e, "first": f})
+    keys, of = np.unique(np.stack([t["doc"].to_numpy(), t["th"].to_numpy()], axis=1), axis=0, return_inverse=True)
+    k, s, e, f = spans(of.ravel(), *(t[c].to_numpy() for c in ("start_word", "end_word", "first")))
+    return pa.table({"doc": keys[k, 0], "th": keys[k, 1], "start_word": s, "end_word": e, "first": f})
 
 
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start_word, end_word, first_doc_id): the passages that occur more than once, the first occurrences included; first_doc_id is the smallest id that has any window of the passage."""
+def _places(docs: DataFrame, min_words: int, hot: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
+    """(spans: doc, th, start_word, end_word, first; copies: th, doc, member, n_words; shards).
+
+    th is the hash of a text.  Spans are of the first document of each text only, one for each *first* of a context; copies name
+    the documents of texts that have several, of which *doc* is the first."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
     found = cut(texts.mapInArrow(partial(_anchor_batches, min_words=min_words), "fp long, th long, doc long, pos int"), "anchors")
-    twin = cut(found.where("fp is null").groupBy("th").agg(F.min("doc").alias("doc"), F.max("pos").alias("n_words"), F.collect_set("doc").alias("docs")).where("size(docs) > 1"), "twins")
-    once = found.where("fp is not null").repartition("fp").groupBy("fp", "th", "pos").agg(F.min("doc").alias("doc"))
-    live = once.withColumn("n", F.count("*").over(Window.partitionBy("fp"))).where("n > 1")
-    live = cut(live.groupBy("doc", "th").agg(F.collect_list("pos").alias("live")), "live")
-    contexts = live.agg(F.sum(F.size("live")).alias("n")).head()["n"] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-contexts // SHARD_CONTEXTS))
-    held = texts.join(fitted(live, 64), ["doc", "th"]).select("doc", "text", "live")
-    around = held.mapInArrow(partial(_context_batches, min_words=min_words, shards=shards), "shard int, doc long, pos int, words binary")
+    sizes = found.where("fp is null").groupBy("th", "doc").agg(F.max("pos").cast("long").alias("n_words"))
+    members = cut(sizes, "sizes")
+    twins = cut(members.groupBy("th").agg(F.min("doc").alias("rep"), F.count("*").alias("docs"), F.max("n_words").alias("n_words")).where("docs > 1"), "twins")
+    places = found.where("fp is not null")
+    ends = [f(c).alias(f"{k}_{c}") for c in ("th", "pos") for k, f in (("low", F.min), ("high", F.max))]
+    twice = cut(places.groupBy("fp").agg(*ends).where("low_th <> high_th or low_pos <> high_pos").select("fp"), "twice")  # at two places, copies of a text apart
+    live = places.join(fitted(twice, 8), "fp", "left_semi").groupBy("th", "pos").agg(F.min("doc").alias("doc")).groupBy("doc", "th").agg(F.collect_list("pos").alias("live"))
+    held = texts.join(fitted(cut(live, "live"), 24, ("live",)), ["doc", "th"]).select("doc", "th", "text", "live")
+    around = held.mapInArrow(partial(_context_batches, min_words=min_words), "fp long, doc long, th long, pos int, words binary")
+    around = cut(around.withColumn("kind", F.unhex(F.md5("words"))), "around")
+    place = F.xxhash64("doc", "th", "pos")
+    several = F.when(F.min(place) == F.max(place), 1).otherwise(2).cast("long")  # repeated rows are one place
+    kinds = around.groupBy("fp", "kind", "words").agg(F.min("doc").alias("least"), several.alias("copies"))
+    kinds = cut(kinds, "kinds")
+    large = cut(kinds.groupBy("fp").count().where(F.col("count") > hot).select("fp"), "hot")
+    n = kinds.count()
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // SHARD_CONTEXTS))
 
     def sort_shard(t: pa.Table) -> pa.Table:
         return _sort_shard(t, min_words)
 
-    parts = around.groupBy("shard").applyInArrow(sort_shard, "doc long, start_word long, end_word long, first long")
-    whole = twin.select("doc", F.lit(0).cast("long").alias("start_word"), F.col("n_words").cast("long").alias("end_word"), F.col("doc").alias("first"))
-    merged = parts.unionByName(whole).withColumn("bucket", F.pmod(F.xxhash64("doc"), F.lit(shards))).groupBy("bucket").applyInArrow(_merge_spans, "doc long, start_word long, end_word long, first long")
-    everyone = twin.select("doc", "docs")
-    return (
-        merged.join(everyone, "doc", "left")
-        .select(F.explode(F.coalesce("docs", F.array("doc"))).alias("doc_id"), "start_word", "end_word", F.col("first").alias("first_doc_id"))
-    )
+    cold = kinds.join(fitted(large, 8), "fp", "left_anti").select(F.pmod("fp", F.lit(shards)).alias("shard"), "kind", "words", "least", "copies")
+    parts = cold.groupBy("shard").applyInArrow(sort_shard, "kind binary, o long, n long, first long")
+    if not large.isEmpty():
+        windows = kinds.join(fitted(large, 8), "fp", "left_semi").select("kind", "words", "least", "copies").mapInArrow(partial(_window_batches, min_words=min_words), "window binary, kind binary, o long, least long, copies long")
+        windows = cut(windows, "windows")
+        again = windows.groupBy("window", "o").agg(F.sum("copies").alias("copies"), F.min("least").alias("first")).where("copies > 1").select("window", "o", "first")
+        parts = parts.unionByName(windows.join(again, ["window", "o"]).select("kind", "o", F.lit(min_words).cast("long").alias("n"), "first"))
+    parts = cut(parts, "parts")
+    start = (F.col("pos") - (min_words - ANCHOR) + F.col("o")).cast("long")
+    there = around.select("doc", "th", "pos", "kind").join(fitted(parts, 48), "kind").select("doc", "th", start.alias("start_word"), (start + F.col("n")).alias("end_word"), "first")
+    copies = members.drop("n_words").join(twins.select("th", "rep", "n_words"), "th").select("th", F.col("rep").alias("doc"), F.col("doc").alias("member"), "n_words")
+    return there, copies, shards
+
+
+def _merged(spans_: DataFrame, shards: int) -> DataFrame:
+    return spans_.withColumn("bucket", F.pmod(F.xxhash64("doc"), F.lit(shards))).groupBy("bucket").applyInArrow(_merge_spans, "doc long, th long, start_word long, end_word long, first long")
+
+
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, start_word, end_word, first_doc_id): the passages that occur more than once, the first occurrences included; first_doc_id is the smallest id that has any window of the passage."""
+    there, copies, shards = _places(docs, min_words, hot, id_col, text_col)
+    whole = copies.where("member = doc").select("doc", "th", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), F.col("doc").alias("first"))
+    rows = _merged(there.unionByName(whole), shards).join(copies.select("doc", "th", "member"), ["doc", "th"], "left")
+    return rows.select(F.coalesce("member", "doc").alias("doc_id"), "start_word", "end_word", F.col("first").alias("first_doc_id"))
+
+
+def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi in slices(batch.column(1), 1 << 20):
+            text, out = batch.column(1)[lo:hi], []
+            at, off = word_places(text)
+            buf, base = raw(text)
+            for k, spans_ in enumerate(batch.column(2)[lo:hi].to_pylist()):
+                data, from_, kept = buf[base[k] : base[k + 1]].tobytes(), 0, []
+                places = at[off[k] : off[k + 1]] - base[k]
+                for x in sorted(spans_, key=lambda x: x["start_word"]):
+                    begin = int(places[x["start_word"]])
+                    kept.append(data[from_:begin])
+                    from_ = int(places[x["end_word"]]) if x["end_word"] < len(places) else len(data)
+                out.append(b"".join([*kept, data[from_:]]).decode())
+            yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(out, pa.string()), pa.array([sum(x["end_word"] - x["start_word"] for x in s) for s in batch.column(2)[lo:hi].to_pylist()], pa.int64())], ["doc_id", "text", "n_words_removed"])
+
+
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, n_words_removed) of every row: words in a window that a document with a smaller id has as well are gone, with what follows up to the next word.
+
+    So every window stays where it is first, but for what a still earlier document has.  Repeats within one document stay, and so do rows with a null id or text."""
+    there, copies, shards = _places(docs, min_words, hot, id_col, text_col)
+    later = copies.where("member <> doc").select(F.col("member").alias("doc"), "th", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"))
+    gone = _merged(there.where("first < doc"), shards).drop("first").unionByName(later)
+    gone = cut(gone.groupBy("doc", "th").agg(F.collect_list(F.struct("start_word", "end_word")).alias("gone")), "gone")  # of one text
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    joined = rows.join(fitted(gone, 24, ("gone", "gone")), ["doc", "th"], "left")
+    changed = joined.where("gone is not null").select("doc", "text", "gone").mapInArrow(_cut_batches, "doc_id long, text string, n_words_removed long")
+    same = joined.where("gone is null").select(F.col("doc").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words_removed"))
+    return same.unionByName(changed)

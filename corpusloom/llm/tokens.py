@@ -106,12 +106,23 @@ def slices(arr: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int]]:
 
 def words(arr: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each word, its length in bytes, offsets of the rows in them)."""
+    return _words(arr, lower)[:3]
+
+
+def word_places(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte of each word within all texts as they are, offsets of the rows in them)."""
+    _, _, off, places = _words(arr, lower=False)
+    return places, off
+
+
+def _words(arr: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
     buf, off = raw(pc.utf8_lower(arr.cast(pa.large_string())) if lower else arr)
     n = len(buf)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(off), np.int64), np.zeros(0, np.int64)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
+        return none
     inside, joins = _byte_kinds(buf)
     joins[off[off < n]] = False
     hashes, lengths, places, p = [], [], [], 0
@@ -140,8 +151,9 @@ def words(arr: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np
             places.append(starts + p)
         p = q
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    return np.concatenate(hashes), np.concatenate(lengths), np.searchsorted(np.concatenate(places), off)
+        return none
+    at = np.concatenate(places)
+    return np.concatenate(hashes), np.concatenate(lengths), np.searchsorted(at, off), at
 
 
 def rolling(h: np.ndarray, k: int) -> np.ndarray:
