@@ -8,13 +8,17 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import folds
+
 Cleaner = Callable[[Column], Column]
 CJK = "\\u4e00-\\u9fff"
-EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+#: White space as Unicode has it, and the four separators.
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 PAGE_NUMBER = [r"^\s*第\s*\d+\s*页\s*$", r"^\s*\d+\s*/\s*\d+\s*$", r"^\s*-?\s*\d+\s*-?\s*$", r"^\s*Page\s*\d+\s*$"]
 NOTICES = [r"Copyright\s+", "All rights reserved", "版权所有"]
-WATERMARKS = ("copyright", "email", "www.")
-GLUE = "。.！？；;：:\n—…"
+WATERMARKS = ("copyright", "email", "www.", "西安交通大学", "xianjiaotonguniversity")
+#: Headings (lower-case parts of them) of sections that are left out.
+SKIP = ("前言", "思考题", "目录", "习题", "参考文献", "图书在版编目", "目 录", "目 次", "acknowledgements", "conference papers", "table of contents", "list of figures", "list of tables", "例题", "magnetism")
 
 
 def sub(pattern: str, to: str = "") -> Cleaner:
@@ -22,7 +26,11 @@ def sub(pattern: str, to: str = "") -> Cleaner:
 
 
 def strip(t: Column) -> Column:
-    return F.regexp_replace(t, EDGE, "")
+    return F.btrim(t, F.lit(SPACE))
+
+
+def rstrip(t: Column) -> Column:
+    return F.rtrim(t, F.lit(SPACE))
 
 
 def lines(t: Column) -> Column:
@@ -71,14 +79,7 @@ def drop_short_lines(least: int = 5) -> Cleaner:
 
 def drop_contents(t: Column) -> Column:
     """Drops a table of contents: its heading and the numbered or bracketed lines that follow it."""
-    start = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        opens = x.rlike(r"^#\s*(目录|Contents|Table of Contents)")
-        entry = s["inside"] & x.rlike(r"(?U)^\s*[\d.\-]+\s+|^\s*\[")
-        return F.struct((opens | entry).alias("inside"), F.when(opens | entry, s["out"]).otherwise(F.array_append(s["out"], x)).alias("out"))
-
-    return F.array_join(F.aggregate(lines(t), start, step)["out"], "\n")
+    return folds.without_contents(t)
 
 
 def drop_comments(language: str) -> Cleaner:
@@ -127,7 +128,7 @@ def is_link(x: Column) -> Column:
 
 
 def has_watermark(x: Column, words: tuple[str, ...] = WATERMARKS) -> Column:
-    return F.lower(x).rlike("|".join(w.replace(".", r"\.") for w in words)) if words else F.lit(False)
+    return F.lower(x).rlike("|".join(f"\\Q{w}\\E" for w in words)) if words else F.lit(False)
 
 
 def is_catalogue_entry(x: Column) -> Column:
@@ -142,54 +143,44 @@ def is_contents_line(x: Column) -> Column:
 
 def drop_contents_block(ls: Column) -> Column:
     """Of lines: a contents heading opens a block that a blank or # line closes; the block goes."""
-    start = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("out"))
+    return folds.without_contents_block(ls)
 
-    def step(s: Column, x: Column) -> Column:
-        opens = F.lower(x).startswith("contents") | x.contains("目录")
-        inside = F.when(opens, True).when((strip(x) == "") | x.startswith("#"), False).otherwise(s["inside"])
-        return F.struct(inside.alias("inside"), F.when(inside, s["out"]).otherwise(F.array_append(s["out"], x)).alias("out"))
 
-    return F.aggregate(ls, start, step)["out"]
+strip_watermark = sub(r"(?iuU)西安\s*交通\s*大学\s*XIANJIAOTONGUNIVERSITY")
 
 
-def collapse_blanks(ls: Column) -> Column:
-    before = F.array_append(F.slice(ls, 1, F.greatest(F.size(ls) - 1, F.lit(0))), F.lit(None).cast("string"))
-    pairs = F.arrays_zip(ls.alias("x"), F.concat(F.array(F.lit("#")), before).alias("p"))
-    return F.transform(F.filter(pairs, lambda z: z["x"].isNotNull() & ~((strip(z["x"]) == "") & (strip(z["p"]) == ""))), lambda z: z["x"])
+def is_url_line(x: Column) -> Column:
+    return strip(x).rlike(r"(?U)^https?://\S+$")
 
 
 def map_lines(ls: Column, cleaner: Cleaner) -> Column:
     return F.filter(F.transform(ls, lambda x: strip(cleaner(x))), lambda x: x != "")
 
 
-def markdown_lines(t: Column, watermarks: tuple[str, ...] = WATERMARKS) -> Column:
+def markdown_lines(t: Column, watermarks: tuple[str, ...] = WATERMARKS, references: bool = True, garbled: bool = True) -> Column:
     """Lines of a markdown text without contents, links, watermarks, citations, references and odd characters."""
-    ls = F.filter(drop_contents_block(lines(t)), lambda x: ~is_link(x) & ~has_watermark(x, watermarks))
+    ls = drop_contents_block(F.transform(lines(t), rstrip))
+    ls = F.filter(ls, lambda x: ~is_link(x) & ~has_watermark(x, watermarks))
     ls = F.transform(ls, compose(strip_brackets, strip_author_year))
-    ls = F.filter(ls, lambda x: ~is_catalogue_entry(x) & ~is_contents_line(x) & ~strip(x).rlike(r"^https?://\S+$"))
-    return map_lines(ls, compose(strip_tail_page, strip_figures, strip_references, strip_et_al, keep_line_chars))
+    ls = F.filter(ls, lambda x: ~is_catalogue_entry(x) & ~is_contents_line(strip(x)) & ~is_url_line(x))
+    ls = map_lines(ls, compose(strip_tail_page, strip_figures, strip_watermark, strip_references))
+    ls = map_lines(ls, strip_et_al) if references else ls
+    return map_lines(ls, compose(keep_line_chars)) if garbled else ls
 
 
 def plain_lines(t: Column, watermarks: tuple[str, ...] = WATERMARKS, mend: bool = True) -> Column:
-    """Lines of a plain text, cleaned likewise, with broken lines mended on request."""
-    ls = collapse_blanks(F.transform(lines(t), lambda x: F.regexp_replace(x, r"(?U)\s+$", "")))
-    ls = F.filter(ls, lambda x: ~is_link(x) & ~has_watermark(x, watermarks) & ~is_catalogue_entry(x) & ~strip(x).rlike(r"^https?://\S+$"))
-    ls = map_lines(ls, compose(strip_brackets, strip_author_year, strip_tail_page, strip_figures, strip_references, keep_line_chars, strip_et_al))
-    return mend_lines(ls) if mend else ls
+    """Lines of a plain text, cleaned likewise (one blank line stays of several), with broken lines mended on request."""
+    clean = compose(strip_brackets, strip_author_year, strip_tail_page, strip_figures, strip_references, keep_line_chars, strip_et_al, strip)
+    goes = lambda x: is_link(x) | has_watermark(x, watermarks) | is_catalogue_entry(x) | is_url_line(x)
+    # blanks are marked, so that lines which cleaning empties can go
+    ls = F.transform(F.transform(lines(t), rstrip), lambda x: F.when(x == "", "\n").when(goes(x), "").otherwise(clean(x)))
+    ls = F.transform(F.filter(ls, lambda x: x != ""), lambda x: F.when(x == "\n", "").otherwise(x))
+    return folds.one_blank(ls, mend=mend)
 
 
 def mend_lines(ls: Column) -> Column:
     """Joins a line that doesn't end a sentence with the next one, by pairs; headings and blanks aren't appended."""
-    start = F.struct(F.lit(None).cast("string").alias("held"), F.array().cast("array<string>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        ends = x.rlike(f"[{GLUE}]$") | (x == "")
-        joins = s["held"].isNotNull() & (strip(x) != "") & ~x.startswith("#")
-        out = F.when(s["held"].isNotNull(), F.array_append(s["out"], F.when(joins, F.concat(s["held"], F.lit(" "), x)).otherwise(s["held"]))).otherwise(s["out"])
-        out = F.when(~joins & ends, F.array_append(out, x)).otherwise(out)
-        return F.struct(F.when(~joins & ~ends, x).alias("held"), out.alias("out"))
-
-    return F.aggregate(ls, start, step, lambda s: F.when(s["held"].isNotNull(), F.array_append(s["out"], s["held"])).otherwise(s["out"]))
+    return folds.mended(ls)
 
 
 def sentences(t: Column) -> Column:

@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import folds
 from ..functions import text as T
+from .scale import numbered
 
-TITLE = r"^第[一二三四五六七八九十百千万\d]+[章节篇部]|^\d+[.、]\s*\S+|^#\s*(.+)"
+FILE_TYPES = ("pdf", "docx", "doc", "pptx", "ppt", "txt", "md")
 
 
 def pack(pieces: Column, most: int = 500, least: int = 50, sep: str = "") -> Column:
     """Greedy packing: pieces go on until the next would pass *most*; packs under *least* go."""
-    start = F.struct(F.lit("").alias("cur"), F.array().cast("array<string>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        full = (s["cur"] != "") & (F.length(s["cur"]) + F.length(x) > most)
-        return F.struct(
-            F.when(full | (s["cur"] == ""), x).otherwise(F.concat(s["cur"], F.lit(sep), x)).alias("cur"),
-            F.when(full, F.array_append(s["out"], s["cur"])).otherwise(s["out"]).alias("out"),
-        )
-
-    packs = F.aggregate(pieces, start, step, lambda s: F.when(s["cur"] != "", F.array_append(s["out"], s["cur"])).otherwise(s["out"]))
-    return F.filter(F.transform(packs, T.strip), lambda x: F.length(x) >= least)
+    return folds.packed(pieces, most=most, least=least, sep=sep)
 
 
 def chunks(df: DataFrame, most: int = 500, least: int = 50, text: str = "text", order: str = "doc_id") -> DataFrame:
@@ -31,11 +23,18 @@ def chunks(df: DataFrame, most: int = 500, least: int = 50, text: str = "text",
     return rows.withColumn("char_count", F.length("content").cast("long"))
 
 
+def section_chunks(sections: DataFrame, most: int = 500, least: int = 50, source_type: str | None = None) -> DataFrame:
+    """Chunks of sections (source_file, section_no, title, full_path, level, body and, if *source_type* names it, the type of the source):
+    (content, section_title, full_path, source_file, source_type, chunk_index, level, char_count), chunk_index over all of them by source_file."""
+    kind = F.coalesce(F.col(source_type), F.lit("unknown")) if source_type else F.lit("unknown")
+    rows = sections.select("source_file", "section_no", F.col("title").alias("section_title"), "full_path", kind.alias("source_type"), "level", F.posexplode(pack(T.sentences(F.col("body")), most, least)).alias("pos", "content"))
+    rows = numbered(rows, ["source_file", "section_no", "pos"], "chunk_index")
+    return rows.select("content", "section_title", "full_path", "source_file", "source_type", "chunk_index", "level", F.length("content").cast("long").alias("char_count"))
+
+
 def paragraphs(t: Column, most: int = 0) -> Column:
-    ps = F.filter(F.transform(F.split(t, "\n\n", -1), T.strip), lambda x: x != "")
-    if not most:
-        return ps
-    return F.flatten(F.transform(ps, lambda p: F.when(F.length(p) <= most, F.array(p)).otherwise(pack(T.sentences(p), most, 1))))
+    """Parts between blank lines; those over *most* characters, if it isn't 0, in packs of sentences."""
+    return folds.paragraphs(t, most=most)
 
 
 def split_by(df: DataFrame, unit: str, least: int = 0, most: int = 1 << 30, text: str = "text", order: str = "doc_id") -> DataFrame:
@@ -45,47 +44,37 @@ def split_by(df: DataFrame, unit: str, least: int = 0, most: int = 1 << 30, text
     return df.select(order, F.posexplode(parts).alias("pos", "text")).where((F.length("text") >= max(least, 1)) & (F.length("text") <= most))
 
 
-def long_sentence(t: Column, most: int) -> Column:
-    """A sentence cut at commas, packed up to *most*."""
-    return pack(F.split(t, "(?<=[，,；;、])", -1), most, 1)
-
-
-def plain_sections(df: DataFrame, text: str = "text", order: str = "doc_id", least: int = 30) -> DataFrame:
-    """(order, section_no, title, body): parts that title lines begin, longer than *least*; a text without any is one section."""
-    rows = df.select(order, F.posexplode(T.lines(F.col(text))).alias("n", "x")).withColumn("title", T.strip(F.col("x")).rlike(TITLE))
-    rows = rows.withColumn("section_no", F.sum(F.col("title").cast("int")).over(Window.partitionBy(order).orderBy("n")))
-    name = F.max(F.when(F.col("title"), T.strip(F.col("x"))))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("title"), F.struct("n", "x")))), lambda s: s["x"]), "\n")
-    parts = rows.groupBy(order, "section_no").agg(name.alias("title"), T.strip(body).alias("body")).where(F.length("body") > least)
-    whole = df.join(parts.select(order).distinct(), order, "left_anti").select(order, F.lit(0).cast("long").alias("section_no"), F.lit(None).cast("string").alias("title"), F.col(text).alias("body"))
-    return parts.unionByName(whole)
-
-
-def markdown_sections(df: DataFrame, text: str = "text", order: str = "doc_id", skip: tuple[str, ...] = ("references", "参考文献", "acknowledgements", "致谢"), least_top: int = 150, least: int = 50) -> DataFrame:
-    """(order, section_no, title, full_path, level, body) of headed parts with more than the least letters; text before a heading goes."""
-    kind = "struct<title:string,level:int>"
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("stack"), F.lit(None).cast("array<string>").alias("paras"), F.array().cast(f"array<struct<stack:array<{kind}>,paras:array<string>>>").alias("out"))
-
-    def close(s: Column) -> Column:
-        return F.when(s["paras"].isNotNull(), F.array_append(s["out"], F.struct(s["stack"].alias("stack"), s["paras"].alias("paras")))).otherwise(s["out"])
-
-    def step(s: Column, x: Column) -> Column:
-        head = x.rlike(r"^#+\s*\S")
-        level = F.least(F.length(F.regexp_extract(x, "^(#+)", 1)), F.lit(6)).cast("int")
-        title = T.strip(F.regexp_replace(x, "^#+", ""))
-        stack = F.array_append(F.filter(s["stack"], lambda k: k["level"] < level), F.struct(title.alias("title"), level.alias("level")))
-        return F.struct(
-            F.when(head, stack).otherwise(s["stack"]).alias("stack"),
-            F.when(head, F.array().cast("array<string>")).otherwise(F.array_append(s["paras"], x)).alias("paras"),
-            F.when(head, close(s)).otherwise(s["out"]).alias("out"),
-        )
-
-    blocks = F.aggregate(T.markdown_lines(F.col(text)), start, step, close)
-    rows = df.select(order, F.posexplode(blocks).alias("section_no", "b"))
-    join = F.aggregate("b.paras", F.lit(""), lambda a, p: F.when(a == "", p).when(a.rlike("[。.！？；;：:]$"), F.concat(a, p)).otherwise(F.concat(a, F.lit(" "), p)))
-    titles = F.transform("b.stack", lambda k: k["title"])
-    rows = rows.select(order, "section_no", F.element_at(titles, -1).alias("title"), F.array_join(titles, " > ").alias("full_path"), F.element_at("b.stack", -1)["level"].alias("level"), F.size("b.stack").alias("__d"), titles.alias("__t"), join.alias("body"))
-    letters = F.length(F.regexp_replace("body", rf"(?U)[^\w{T.CJK}]", ""))
-    last_two = F.slice("__t", F.greatest(F.size("__t") - 1, F.lit(1)), 2)
-    skipped = F.exists(last_two, lambda t: F.lower(t).rlike("|".join(skip))) if skip else F.lit(False)
-    return rows.where((letters > F.when(F.col("__d") == 1, least_top).otherwise(least)) & ~skipped).drop("__d", "__t")
+def long_sentence(t: Column, most: int = 500) -> Column:
+    """A sentence of more than *most* characters cut at commas and semicolons, its parts packed again with full-width commas."""
+    return folds.long_sentence(t, most=most)
+
+
+def headed_parts(df: DataFrame, text: str = "text", order: str = "doc_id", least: int = 10, most: int = 0) -> DataFrame:
+    """(order, section_no, pos, title, text): paragraphs of *least* characters or more of a text that # lines divide."""
+    return df.select(order, F.inline(folds.headed_parts(F.col(text), least=least, most=most)))
+
+
+def _sections(df: DataFrame, order: str, blocks: Column) -> DataFrame:
+    return df.select(order, F.posexplode(blocks).alias("section_no", "b")).select(order, "section_no", "b.*")
+
+
+def plain_sections(df: DataFrame, text: str = "text", order: str = "doc_id", least: int = 30, name: str | None = None, watermarks: tuple[str, ...] = T.WATERMARKS, mend: bool = True) -> DataFrame:
+    """(order, section_no, title, full_path, level, body, char_count): parts of the cleaned text that title lines begin, longer than *least*.
+
+    Text before the first title is called by the stem of the file that column *name* holds; a text without any part is one section."""
+    names = [F.col(name).cast("string")] if name else [F.col(order).cast("string")]
+    return _sections(df, order, folds.plain_sections(T.plain_lines(F.col(text), watermarks, mend), *names, least=least))
+
+
+def markdown_sections(
+    df: DataFrame, text: str = "text", order: str = "doc_id", skip: tuple[str, ...] = T.SKIP, least_top: int = 150, least: int = 50, watermarks: tuple[str, ...] = T.WATERMARKS, references: bool = True, garbled: bool = True
+) -> DataFrame:
+    """(order, section_no, title, full_path, level, body, char_count) of headed parts with more than the least letters; text before a heading goes, and so do
+    sections whose own or parent's title has a part in *skip*."""
+    return _sections(df, order, folds.markdown_sections(T.markdown_lines(F.col(text), watermarks, references, garbled), skip=tuple(skip), least_top=least_top, least=least))
+
+
+def source_type(stem: Column, known: Column | None = None, extensions: Column | None = None) -> Column:
+    """The type of a source: as its metadata (*known*) has it, else the first of FILE_TYPES among the *extensions* (an array) that are there for its stem, else 'unknown'."""
+    there = [F.when(F.array_contains(extensions, e), e) for e in FILE_TYPES] if extensions is not None else []
+    return F.coalesce(*([F.nullif(known, F.lit(""))] if known is not None else []), *there, F.lit("unknown"))
