@@ -270,7 +270,7 @@ def _places(docs: DataFrame, min_words: int, hot: int, id_col: str, text_col: st
     ends = [f(c).alias(f"{k}_{c}") for c in ("th", "pos") for k, f in (("low", F.min), ("high", F.max))]
     twice = cut(places.groupBy("fp").agg(*ends).where("low_th <> high_th or low_pos <> high_pos").select("fp"), "twice")  # at two places, copies of a text apart
     live = places.join(fitted(twice, 8), "fp", "left_semi").groupBy("th", "pos").agg(F.min("doc").alias("doc")).groupBy("doc", "th").agg(F.collect_list("pos").alias("live"))
-    held = texts.join(fitted(cut(live, "live"), 24, ("live",)), ["doc", "th"]).select("doc", "th", "text", "live")
+    held = texts.join(cut(live, "live"), ["doc", "th"]).select("doc", "th", "text", "live")  # never broadcast: it grows with the texts
     around = held.mapInArrow(partial(_context_batches, min_words=min_words), "fp long, doc long, th long, pos int, words binary")
     around = cut(around.withColumn("kind", F.unhex(F.md5("words"))), "around")
     place = F.xxhash64("doc", "th", "pos")

@@ -147,6 +147,11 @@ def _fields(schema: str) -> list[str]:
     return [f"{name}: {kind}" for name, kind in (x.strip().split(" ", 1) for x in schema.split(","))]
 
 
+def trainer_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(text) of JSON lines, as a trainer reads them: other fields, malformed lines and records without a text are left out."""
+    return json_lines(spark, path, "text string").where("text is not null").select("text")
+
+
 def read_counts(rows: DataFrame) -> DataFrame:
     """(total, malformed) of rows with ``_corrupt``."""
     return rows.agg(F.count("*").alias("total"), F.count("_corrupt").alias("malformed"))

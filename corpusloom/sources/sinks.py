@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import dedup, records, scale
+from ..operators import chunks, dedup, records, scale
 from .files import write_json_lines
 
 PREVIEW = 100
@@ -84,3 +84,10 @@ def paired(sections: DataFrame, path: str) -> None:
     """Sections as JSON lines and their bodies as cleaned texts, by source file."""
     sections.write.mode("overwrite").partitionBy("source_file").json(f"{path}/sections")
     sections.select("source_file", F.col("body").alias("value")).write.mode("overwrite").partitionBy("source_file").text(f"{path}/cleaned")
+
+
+def headed_json(df: DataFrame, path: str, text: str = "text", source: str = "source_file") -> int:
+    """Texts of ``# title`` parts as JSON lines (title, text, source_file), a line for each paragraph; how many."""
+    rows = scale.settled(chunks.headed_parts(df, text, source))
+    write_json_lines(rows.select("title", "text", F.col(source).alias("source_file")), path)
+    return rows.count()

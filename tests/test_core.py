@@ -289,6 +289,9 @@ def test_json_and_text_sources(spark, tmp_path):
     for c in ("heat", "cold"):
         (tmp_path / c).mkdir()
         (tmp_path / c / "x.txt").write_text(f"all\nof {c}")
+    (tmp_path / "t.jsonl").write_text('{"text":"a","x":1}\n{bad\n\n{"y":2}\n')
+    assert [r["text"] for r in files.trainer_texts(spark, str(tmp_path / "t.jsonl")).collect()] == ["a"]
+    assert sinks.headed_json(spark.createDataFrame([("f", "# T\nlong enough para\n\nshort\n# U\nanother paragraph")], "source_file string, text string"), str(tmp_path / "headed")) == 2
     assert {(r["category"], r["filename"], r["text"]) for r in files.texts_by_category(spark, str(tmp_path)).collect()} == {(c, "x.txt", f"all\nof {c}") for c in ("heat", "cold")}
 
 
