@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .tokens import OWN, rolling, slices, words
+from .tokens import OWN, release, rolling, slices, tidy, words
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -271,7 +271,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, o
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     out, columns = None, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, start_word long"
     for index in indexes(benchmark, threshold, item_col, text_col, shard_bytes):
-        part = texts.mapInArrow(partial(_scan_batches, index=index, overlap=overlap), columns)
+        part = texts.mapInArrow(tidy(partial(_scan_batches, index=index, overlap=overlap)), columns)
         out = part if out is None else out.unionByName(part)
     best = F.max_by(F.struct("score", "question_overlap", "answer_overlap", "start_word"), F.struct(F.round("score", 9), -F.col("start_word")))  # of rows of one id, and of an item's texts in several shards
     return out.groupBy("doc_id", "item_id").agg(best.alias("x")).select("doc_id", "item_id", "x.*")
@@ -291,6 +291,7 @@ def _clean(index: Index, overlap: float):
         for lo, hi in slices(text, 1 << 20):
             h, _, off = words(text[lo:hi])
             out[[lo + r for r, *_ in scan(h, off, index, overlap)]] = False
+        release()
         return pa.array(out)
 
     return clean

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import _const, raw, slices, words
+from .tokens import _const, raw, release, slices, tidy, words
 
 FIT_ROWS = 20_000
 SHRINK = 0.3
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     )
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")  # fit_rows rows at most
     moments: dict[int, list] = {}
-    for r in rows.select("__label", "__text").mapInArrow(_moments, "label int, sums array<double>").collect():
+    for r in rows.select("__label", "__text").mapInArrow(tidy(_moments), "label int, sums array<double>").collect():
         sums = np.array(r["sums"])
         moments[r["label"]] = sums + moments.get(r["label"], 0.0)
     if len(moments) < 2:
@@ -148,7 +148,7 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_
     """(doc_id, log_good, log_bad, score, keep) of every document."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(partial(_score_batches, model=model, threshold=threshold), "doc_id long, log_good double, log_bad double, score double, keep boolean")
+    return rows.mapInArrow(tidy(partial(_score_batches, model=model, threshold=threshold)), "doc_id long, log_good double, log_bad double, score double, keep boolean")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text_col: str = "text", **options) -> DataFrame:
@@ -163,6 +163,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         for lo, hi in slices(text, 1 << 20):
             a, b = _score(text[lo:hi], model)
             out.append(a - b >= threshold)
-        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
+        kept = pa.array(np.concatenate(out) if out else np.zeros(0, bool))
+        release()
+        return kept
 
     return docs.where(good(F.col(text_col)))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, fitted
-from .tokens import mix, slices, words
+from .tokens import mix, release, slices, tidy, words
 
 BITS = 128
 RADIUS = 23
@@ -414,7 +414,7 @@ def _search_shard(key, t: pa.Table, blocks: int, most: int, radius: int, forest:
 def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h0, h1), written to the shared folder; one row for each document that has words."""
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    prints = cut(text.mapInArrow(_fingerprint_batches, "id long, h0 long, h1 long"), "prints")
+    prints = cut(text.mapInArrow(tidy(_fingerprint_batches), "id long, h0 long, h1 long"), "prints")
     return prints.groupBy("id").agg(F.min(F.struct("h0", "h1")).alias("h")).select("id", "h.h0", "h.h1")
 
 
@@ -429,11 +429,13 @@ def _search(prints: DataFrame, radius: int, blocks: int | None, forest: bool, sh
     h = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 2).view(np.uint64)
     values = block_values(h, blocks)
     plans = [Shards(values[k], n, shards, shard_rows, 7 + k) for k in range(blocks)]
-    visits = same.select("id", "h0", "h1").mapInArrow(partial(_visit_batches, plans=plans, radius=radius // blocks), "shard long, home boolean, id long, h0 long, h1 long")
+    visits = same.select("id", "h0", "h1").mapInArrow(tidy(partial(_visit_batches, plans=plans, radius=radius // blocks)), "shard long, home boolean, id long, h0 long, h1 long")
     most = max(p.count for p in plans)
 
     def search_shard(key, t):
-        return _search_shard(key, t, blocks, most, radius, forest)
+        found = _search_shard(key, t, blocks, most, radius, forest)
+        release()
+        return found
 
     return same, visits.groupBy("shard").applyInArrow(search_shard, "a long, b long, distance int")
 
@@ -480,7 +482,7 @@ def components(edges: DataFrame, local_edges: int = 2_000_000) -> DataFrame:
         if unchanged:
             break
     else:
-        edges = edges.coalesce(1).mapInArrow(_forest_batches, "a long, b long")
+        edges = edges.coalesce(1).mapInArrow(tidy(_forest_batches), "a long, b long")
     ends = edges.groupBy("b").agg(F.min("a").alias("root")).select(F.col("b").alias("id"), "root")
     return ends.unionByName(ends.select(F.col("root").alias("id"), "root").distinct())
 
