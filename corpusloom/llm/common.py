@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ BROADCAST_BYTES = 8 << 20
 ROW_OVERHEAD = 100
 #: Rows of a group that one task of a prefix sum holds, about.
 PREFIX_ROWS = 1 << 16
+#: Bits of the map of a key set by which ``apart`` splits a table, for each key.
+KEY_BITS = 16
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -58,14 +62,38 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
         written.remove(path)
 
 
-def fitted(small: DataFrame, row_bytes: int, lists: tuple[str, ...] = ()) -> DataFrame:
-    """*small* (a cut table) with a broadcast hint if its rows, of *row_bytes*, the elements (8 bytes) of *lists* and what a hash table adds, measure little enough; otherwise as it is, for a join that sorts and spills."""
+def fits(small: DataFrame, row_bytes: int, lists: tuple[str, ...] = ()) -> bool:
+    """Whether the rows of *small* (a cut table), of *row_bytes*, the elements (8 bytes) of *lists* and what a hash table adds, measure little enough for a broadcast."""
     row_bytes += ROW_OVERHEAD
     each = F.lit(row_bytes)
     for c in lists:
         each = each + 8 * F.coalesce(F.size(c), F.lit(0))
     size = small.agg(F.sum(each).alias("b")).head()["b"] if lists else small.count() * row_bytes
-    return F.broadcast(small) if (size or 0) <= BROADCAST_BYTES else small
+    return (size or 0) <= BROADCAST_BYTES
+
+
+def fitted(small: DataFrame, row_bytes: int, lists: tuple[str, ...] = ()) -> DataFrame:
+    """*small* (a cut table) with a broadcast hint if it ``fits``; otherwise as it is, for a join that sorts and spills."""
+    return F.broadcast(small) if fits(small, row_bytes, lists) else small
+
+
+def apart(rows: DataFrame, keys: list[str], small: DataFrame, small_keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose *keys* may be in *small*, a cut table; the rest, whose keys are not), without a move of rows.
+
+    Keys have equal types on both sides. They are marked in a map of bits by one hash, ``KEY_BITS`` for each (a rest of 94 %) and 8 MB in all at most; a key beyond that only makes the rest smaller.
+    """
+    h = lambda names: F.xxhash64(*names)
+    words = max(1, min(-(-small.count() * KEY_BITS // 64), (8 << 20) // 8))
+    spot = lambda x: F.pmod(F.shiftrightunsigned(x, 6), F.lit(words)).cast("int")
+    bit = lambda x: x.bitwiseAND(63).cast("int")
+    marks = small.select(h(small_keys).alias("h")).select(spot(F.col("h")).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("h"))).alias("b"))
+    marks = marks.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    bits = np.zeros(words, np.int64)
+    bits[marks["w"].to_numpy()] = marks["b"].to_numpy()
+    one = F.broadcast(rows.sparkSession.createDataFrame(pa.table({"__bits": pa.array([bits])})))
+    marked = F.getbit(F.get("__bits", spot(h(keys))), bit(h(keys)))
+    both = rows.crossJoin(one)
+    return tuple(both.where(marked == k).drop("__bits") for k in (1, 0))
 
 
 def running_sum(df: DataFrame, group: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fitted
+from . import common
+from .common import apart, cut, fits
 from .tokens import _const, _powers, mix
 
 MIN_CHARS = 20
@@ -225,10 +226,19 @@ def deletions(docs: DataFrame, min_chars: int = MIN_CHARS, rare: int = RARE, min
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(doc_id, text, n_lines_removed) of every document."""
+    """(doc_id, text, n_lines_removed) of every document.  Where the deletions are too many to send everywhere, only the documents that lose lines (and a few others) move."""
+    begin = len(common.written)
     gone = cut(deletions(docs, id_col=id_col, text_col=text_col, **options).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone")), "gone")
+    common.discard(docs.sparkSession, common.written[begin:-1])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
-    joined = rows.join(fitted(gone, 64, ("__gone",)), (F.col("doc_id") == F.col("__id")) & (F.col("th") == F.col("__th")), "left")
+    if fits(gone, 64, ("__gone",)):
+        return _without(rows, F.broadcast(gone))
+    some, rest = apart(rows, ["doc_id", "th"], gone, ["__id", "__th"])
+    return _without(some, gone).unionByName(rest.select("doc_id", "text", F.lit(0).cast("long").alias("n_lines_removed")))
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    joined = rows.join(gone, (F.col("doc_id") == F.col("__id")) & (F.col("th") == F.col("__th")), "left")
     joined = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split("text", "\n", -1)))  # referred to twice, so that it isn't moved into the lambda
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone")  # by a hash set
     kept = F.array_join(F.transform(left, lambda i: F.get(F.col("__lines"), i)), "\n")

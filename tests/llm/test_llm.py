@@ -85,6 +85,48 @@ def test_words_beyond_the_longest(monkeypatch):
     assert h[0] == _hashes("before")[0] and h[off[1] - 1] == h[off[1]] == _hashes("after")[0]
 
 
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    """Joins as between large tables; called when they begin."""
+    def begin():
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    yield begin
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _moved(df):
+    """(rows, bytes) that the exchanges of the plan wrote when *df* was collected last."""
+    todo, total = [df._jdf.queryExecution().executedPlan()], [0, 0]
+    while todo:
+        x = todo.pop()
+        kind = x.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(x.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(x.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                total = [total[0] + x.metrics().apply("shuffleRecordsWritten").value(), total[1] + x.metrics().apply("dataSize").value()]
+            todo += [x.children().apply(k) for k in range(x.children().size())]
+    return total
+
+
+def test_rows_apart(spark, tmp_path, monkeypatch):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 10 != 0, F.col("id")).alias("a"), (F.col("id") % 3).alias("b"))
+    rows.where("a % 7 = 0 and b = 1").select(F.col("a").alias("x"), F.col("b").alias("y")).write.parquet(f"{tmp_path}/small")
+    small, all_rows = spark.read.parquet(f"{tmp_path}/small"), Counter(tuple(x) for x in rows.collect())
+    keys = {tuple(x) for x in small.collect()}
+    for bits, least in ((16, 0.9), (1, 0.3), (0, 0)):  # at the last, a map of 64 bits
+        monkeypatch.setattr(common, "KEY_BITS", bits)
+        some, rest = (Counter(tuple(x) for x in df.collect()) for df in common.apart(rows, ["a", "b"], small, ["x", "y"]))
+        assert some + rest == all_rows and keys <= some.keys() and not keys & rest.keys()
+        assert rest.total() >= least * (all_rows.total() - len(keys))
+    some, rest = common.apart(rows, ["a", "b"], small.limit(0), ["x", "y"])
+    assert some.count() == 0 and rest.count() == 20_000
+
+
 def test_joins_without_broadcast_give_the_same(spark, docs, monkeypatch):
     want = {tuple(x) for x in quotient.copies(docs).collect()}, {tuple(x) for x in sharding.shards(docs, 1000).collect()}
     monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
@@ -560,6 +602,20 @@ def test_lines_of_hot_blocks_and_long_texts(spark):
     assert "lambdafunction(split" not in plan and "lambdafunction(get(split" not in plan
 
 
+def test_lines_move_only_documents_that_lose_some(spark, tmp_path, no_broadcast):
+    r = random.Random(5)
+    rows = [(i, "\n".join(f"{_word(r)} line {k} of document {i}, " + "z" * 60 for k in range(40))) for i in range(300)]
+    rows += [(1000, rows[7][1] + "\nand its own end"), (1001, rows[9][1]), (1001, rows[8][1]), (None, rows[7][1]), (1002, None), (1003, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    df = spark.read.parquet(f"{tmp_path}/docs")
+    want = Counter(tuple(x) for x in lines.without_repeated_lines(df).collect())
+    assert want[1000, "and its own end", 40] == 1 and len(want) == len(rows)
+    no_broadcast()
+    out = lines.without_repeated_lines(df)
+    assert Counter(tuple(x) for x in out.collect()) == want
+    assert 0 < _moved(out)[1] < 0.2 * sum(len(t or "") for _, t in rows)
+
+
 def _lis_blocks(a, b):
     """Unique common lines in their longest common order, by a table over all pairs."""
     one = {x: i for i, x in enumerate(a) if a.count(x) == 1}
