@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .common import cut, fitted, global_sum, running_sum
+from .common import cut, fits, fitted, global_sum, running_sum
 
 BLOCK_TOKENS = 2048
 GOLDEN = 2654435769  # 2**32 / phi
@@ -41,6 +41,11 @@ def tokens(text: Column) -> Column:
     return F.when(F.coalesce(size, F.lit(0)) == 0, F.lit(0)).otherwise(gaps + 1).cast("long")
 
 
+def mix_hash(ident: Column, seed: int) -> Column:
+    """Order of the documents in a source: 60 bits of a hash of the id."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), ident.cast("string"))), 1, 15), 16, 10).cast("long")
+
+
 def _points(slots: int, spark) -> DataFrame:
     """(slot, u): the low 32 bits of slot * GOLDEN, without an overflow."""
     k = F.col("slot")
@@ -63,13 +68,12 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_tok
     """(doc_id, source, slot, block, from_token, n_tokens, start_token): the pieces of documents in each slot's block, in the order of
     start_token (a piece's place in its source); from_token is the piece's place in its document."""
     spark = docs.sparkSession
-    mix_hash = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 15), 16, 10).cast("long")
     sized = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), tokens(F.col(text_col)).alias("n_tokens"))
         .where("doc_id is not null")
         .groupBy("doc_id")
         .agg(F.min("source").alias("source"), F.max("n_tokens").alias("n_tokens"))
-        .withColumn("h", mix_hash)
+        .withColumn("h", mix_hash(F.col("doc_id"), seed))
     )
     sized = cut(sized, "sized")
     totals = sized.groupBy("source").agg(F.sum("n_tokens").alias("t"))
@@ -118,14 +122,47 @@ def _left(sources: DataFrame, ranked: DataFrame, slots: int) -> DataFrame:
     return placed.select("source", (F.col("before") + slots + 1).alias("slot"), "block")
 
 
+def _routed(docs: DataFrame, taken: DataFrame, files: int, id_col: str, source_col: str, seed: int, how: str) -> DataFrame | None:
+    """*docs* with __id and __to, the file of *taken* where a row's document lies, without a move of rows; None where that takes more than a broadcast.  Rows of no range go to the last file, or out if *how* is inner.
+
+    In a source, documents by (hash, id), blocks, slots and files have one order, so that a file holds one range of a source's
+    (hash, id).  Ranges are looked up by source and first bits of the hash.  Rows whose id has several sources get that of the document.
+    """
+    bits = min(40, (files - 1).bit_length())
+    stretch = lambda h: F.shiftright(h, 60 - bits)
+    ranges = taken.groupBy("__source", "__to").agg(F.min(F.struct(mix_hash(F.col("__taken"), seed).alias("h"), F.col("__taken").alias("id"))).alias("__low"))
+    ranges = ranges.withColumn("__high", F.lead("__low").over(Window.partitionBy("__source").orderBy("__low")))
+    last = F.coalesce(stretch(F.col("__high.h")), F.lit((1 << bits) - 1).cast("long"))
+    ranges = ranges.withColumn("__stretch", F.explode(F.sequence(stretch(F.col("__low.h")), last)))
+    ranges = cut(ranges.select(F.col("__source").alias("__of"), "__stretch", "__low", "__high", F.col("__to").alias("__file")), "ranges")
+    own = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
+    odd = docs.select(F.col(id_col).cast("long").alias("__odd"), own.alias("s")).where("__odd is not null").groupBy("__odd").agg(F.min("s").alias("__first"), F.max("s").alias("s"))
+    odd = cut(odd.where("__first < s").drop("s"), "odd")
+    if not (fits(ranges, 120) and fits(odd, 64)):
+        return None
+    rows = docs.withColumn("__id", F.col(id_col).cast("long")).join(F.broadcast(odd), F.col("__id") == F.col("__odd"), "left")
+    rows = rows.withColumn("__own", F.coalesce("__first", own)).withColumn("__key", F.struct(mix_hash(F.col("__id"), seed).alias("h"), F.col("__id").alias("id")))
+    here = (F.col("__own") == F.col("__of")) & (stretch(F.col("__key.h")) == F.col("__stretch")) & F.col("__id").isNotNull()
+    rows = rows.join(F.broadcast(ranges), here & (F.col("__key") >= F.col("__low")) & (F.col("__high").isNull() | (F.col("__key") < F.col("__high"))), how)
+    return rows.withColumn("__to", F.coalesce("__file", F.lit(files - 1))).drop("__odd", "__first", "__own", "__key", "__of", "__stretch", "__low", "__high", "__file")
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", files: int = 0, weights: dict[str, float] | None = None, whole: bool = True, **options) -> DataFrame:
     """The documents, whole, in the order of the schedule (by partitions, and within each), each where its first piece is; its columns are those of *docs*.
 
-    All rows of *docs* are kept, but those that weights leave out or that come after the end if *whole* is false."""
+    All rows of *docs* are kept, but those that weights leave out or that come after the end if *whole* is false.  Rows move once, to their
+    files; only where neither the slots nor the files' ranges are small enough to send everywhere, they move to their slots first."""
     first = schedule(docs, weights, id_col=id_col, whole=whole, **options).where("from_token = 0")
-    taken = cut(first.select(F.col("doc_id").alias("__taken"), F.col("slot").alias("__slot"), F.col("start_token").alias("__start")), "mix")
+    taken = cut(first.select(F.col("doc_id").alias("__taken"), F.col("source").alias("__source"), F.col("slot").alias("__slot"), F.col("start_token").alias("__start")), "mix")
     end = (taken.agg(F.max("__slot").alias("m")).head()["m"] or 0) + 1
     files = files or -(-end * options.get("block_tokens", BLOCK_TOKENS) // FILE_TOKENS)
-    rows = docs.join(fitted(taken, 32), docs[id_col] == F.col("__taken"), "left" if whole and weights is None else "inner").withColumn("__slot", F.coalesce("__slot", F.lit(end)))
     to = F.least(F.expr(f"cast((__slot - 1) * {files} div {end} as int)"), F.lit(files - 1))
+    how = "left" if whole and weights is None else "inner"
+    slots = taken.drop("__source")
+    routed = None if (small := fits(slots, 32)) else _routed(docs, taken.withColumn("__to", to), files, id_col, options.get("source_col", "source"), options.get("seed", 42), how)
+    if routed is not None:  # both sides lie by file, and are joined there
+        slots = slots.withColumn("__at", to).repartitionById(files, "__at")
+        rows = routed.repartitionById(files, "__to").join(slots, (F.col("__to") == F.col("__at")) & (F.col("__id") == F.col("__taken")), how)
+        return rows.withColumn("__slot", F.coalesce("__slot", F.lit(end))).sortWithinPartitions("__slot", "__start", "__taken").drop("__id", "__to", "__at", "__taken", "__slot", "__start")
+    rows = docs.join(F.broadcast(slots) if small else slots, docs[id_col] == F.col("__taken"), how).withColumn("__slot", F.coalesce("__slot", F.lit(end)))
     return rows.repartitionById(files, to).sortWithinPartitions("__slot", "__start", "__taken").drop("__taken", "__slot", "__start")

@@ -427,6 +427,33 @@ def test_mixing_keeps_weights(spark):
     assert abs(total["hot"] / sum(total.values()) - 0.7) < 0.01
 
 
+def test_mixing_moves_rows_once(spark, tmp_path, no_broadcast, monkeypatch):
+    r = random.Random(9)
+    rows = [(i, "word " * r.choice([0, 0, 20, 200, 900]) + f"{i}", r.choice(["a", "a", "a", "b", "c", None]), f"h{i}") for i in range(900)]
+    rows += [rows[3], (4, "another text", "z", "h"), (4, "word " * 700, "0", "h"), (None, "no id", "a", "h"), (None, None, None, None), (901, None, "empty", "h")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, h string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    df = spark.read.parquet(f"{tmp_path}/docs")
+    place = {x["doc_id"]: (x["slot"], x["start_token"]) for x in mixing.schedule(df, block_tokens=300).where("from_token = 0").collect()}
+    no_broadcast()
+    size, seen = sum(len(x[1] or "") for x in rows), []
+    for limit in (-1, 30_000):  # rows move to slots, then to files; rows move to files
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        out = mixing.mixed(df, block_tokens=300, files=7)
+        got = [tuple(x) for x in out.collect()]
+        seen.append(_moved(out)[1])
+        assert Counter(got) == Counter(rows) and out.columns == df.columns and out.rdd.getNumPartitions() == 7
+        order = [place.get(x[0], (1 << 60, 0)) for x in got]
+        assert order == sorted(order)
+        part = {x["doc_id"]: x["p"] for x in out.select("doc_id", F.spark_partition_id().alias("p")).collect()}
+        end = max(s for s, _ in place.values()) + 1
+        assert part == {i: min((place.get(i, (end,))[0] - 1) * 7 // end, 6) for i in part}
+        for options in ({"weights": {"a": 1, "c": 2, "0": 1}}, {"whole": False}, {"weights": {"none": 1}}):
+            want = {x["doc_id"] for x in mixing.schedule(df, block_tokens=300, **options).where("from_token = 0").collect()}
+            left = Counter(tuple(x) for x in mixing.mixed(df, block_tokens=300, files=7, **options).collect())
+            assert left == Counter(x for x in rows if x[0] in want)
+    assert seen[1] < 1.3 * size < 1.9 * size < seen[0]
+
+
 def test_points_do_not_overflow(spark):
     for k in (1, 65_535, 2**32 + 7, 2**40 + 12345):
         p = mixing._points(1, spark).select((F.col("slot") - 1 + k).alias("slot"))
