@@ -210,7 +210,7 @@ def generate(df: DataFrame, prompt: Column, client: Client, name: str = "reply",
             errors += [error] * len(some)
         return pa.StructArray.from_arrays([pa.array(replies, pa.string()), pa.array(errors, pa.string())], ["reply", "error"])
 
-    rows = df.withColumn("__asked", ask(prompt))
+    rows = df.withColumn("__asked", ask.asNondeterministic()(prompt))  # else a filter on replies asks again, before the rows lie as *df* has them
     return rows.withColumn(name, F.col("__asked.reply")).withColumn(f"{name}_error", F.col("__asked.error")).drop("__asked")
 
 

@@ -190,6 +190,18 @@ def test_pdf_dates(spark, given, want):
     assert spark.createDataFrame([(given,)], "s string").select(records.pdf_date(F.col("s"))).head()[0] == want
 
 
+def test_a_model_is_asked_once_where_replies_are_filtered(spark, tmp_path):
+    def client(prompts):
+        with open(tmp_path / "asked", "a") as log:
+            log.write("".join(f"{len(prompts)} {p}\n" for p in prompts))
+        return [p.upper() for p in prompts]
+
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(7)], "doc_id long, text string").coalesce(1)
+    got = sft.generate(df, F.col("text"), client).where("reply > 'T3' and reply_error is null").collect()
+    assert {r["reply"] for r in got} == {"T4", "T5", "T6"}
+    assert sorted((tmp_path / "asked").read_text().split("\n")[:-1]) == [f"7 t{i}" for i in range(7)]
+
+
 def test_model_calls(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(7)], "doc_id long, text string").coalesce(1)
     good = sft.generate(df, F.col("text"), lambda p: [x.upper() for x in p], batch=3)
