@@ -10,7 +10,8 @@ block (from the line on or, near the end, up to the block's end), and the run's
 Each pair is aligned with patience diff, and aligned common blocks of ``min_block`` characters or more (or the
 whole of the later text) are deleted from the later document, the one with the larger id.  So are the runs of
 that size that the alignment leaves, as they come twice or in another order.  All pairs align original texts.
-A later text under ``min_block`` characters in all pairs by single lines only.
+A later text under ``min_block`` characters in all pairs by single lines, and by all its lines as one run if one of them has ``min_chars``:
+for that, runs of as many lines as any such text has are keys too.
 
 Defined cases: a null text has no lines and stays null; a text of which all is deleted becomes ''; null ids keep their
 text; rows of one id are one document for pairing (the first by hash) and get their
@@ -163,8 +164,8 @@ def _align_batches(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterato
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.int32()))], ["b", "gone"])
 
 
-def run_keys(h: np.ndarray, n: np.ndarray, off: np.ndarray, min_chars: int, min_block: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key), once each: lines of *min_chars* characters, and the shortest runs of *min_block* from each line on and up to each line."""
+def run_keys(h: np.ndarray, n: np.ndarray, off: np.ndarray, min_chars: int, min_block: int, whole: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key), once each: lines of *min_chars* characters, the shortest runs of *min_block* from each line on and up to each line, and runs under *min_block* of as many lines as *whole* says, one of them of *min_chars*."""
     size = len(h)
     below = np.concatenate([[0], np.cumsum(n)])
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
@@ -172,8 +173,14 @@ def run_keys(h: np.ndarray, n: np.ndarray, off: np.ndarray, min_chars: int, min_
     end = np.searchsorted(below, below[:-1] + min_block, "left")
     start = np.searchsorted(below, below[1:] - min_block, "right") - 1
     on, to, one = end <= off[row + 1], start >= off[row], n >= min_chars
-    s = np.concatenate([at[on], start[to], at[one]])
-    e = np.concatenate([end[on], at[to] + 1, at[one] + 1])
+    starts, ends = [at[on], start[to], at[one]], [end[on], at[to] + 1, at[one] + 1]
+    long = np.concatenate([[0], np.cumsum(one)])
+    for lines in whole:
+        a = at[at + lines <= off[row + 1]]
+        a = a[(below[a + lines] - below[a] < min_block) & (long[a + lines] > long[a])]
+        starts.append(a)
+        ends.append(a + lines)
+    s, e = np.concatenate(starts), np.concatenate(ends)
     power, inverse = _const(f"lines{size.bit_length()}", lambda: _powers(1 << size.bit_length()))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:size], dtype=np.uint64)])
     k = mix((sums[e] - sums[s]) * inverse[s])
@@ -185,11 +192,11 @@ def run_keys(h: np.ndarray, n: np.ndarray, off: np.ndarray, min_chars: int, min_
     return r[first], k[first]
 
 
-def _key_batches(batches: Iterator[pa.RecordBatch], min_chars: int, min_block: int) -> Iterator[pa.RecordBatch]:
+def _key_batches(batches: Iterator[pa.RecordBatch], min_chars: int, min_block: int, whole: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, h, n = batch.column(0), batch.column(1), batch.column(2)
         off = h.offsets.to_numpy().astype(np.int64)
-        r, k = run_keys(h.flatten().to_numpy(zero_copy_only=False).view(np.uint64), n.flatten().to_numpy(zero_copy_only=False).astype(np.int64), off - off[0], min_chars, min_block)
+        r, k = run_keys(h.flatten().to_numpy(zero_copy_only=False).view(np.uint64), n.flatten().to_numpy(zero_copy_only=False).astype(np.int64), off - off[0], min_chars, min_block, whole)
         yield pa.RecordBatch.from_arrays([ids.take(pa.array(r)), pa.array(k.view(np.int64))], ["id", "k"])
 
 
@@ -201,7 +208,10 @@ def line_arrays(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def line_pairs(arrays: DataFrame, min_chars: int = MIN_CHARS, rare: int = RARE, min_block: int = MIN_BLOCK) -> DataFrame:
     """(a, b), a < b: documents to align."""
-    keys = arrays.select("id", "h", "n").mapInArrow(partial(_key_batches, min_chars=min_chars, min_block=min_block), "id long, k long")
+    total = F.aggregate("n", F.lit(0).cast("long"), lambda x, y: x + y)
+    short = arrays.where(F.size("n") > 1).where((total < min_block) & F.exists("n", lambda x: x >= min_chars))
+    whole = tuple(sorted(x[0] for x in short.select(F.size("n")).distinct().collect()))
+    keys = arrays.select("id", "h", "n").mapInArrow(partial(_key_batches, min_chars=min_chars, min_block=min_block, whole=whole), "id long, k long")
     keys = cut(keys, "keys")
     stats = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
     held = cut(keys.join(stats, "k"), "held")

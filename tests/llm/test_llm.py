@@ -629,6 +629,17 @@ def test_lines_of_hot_blocks_and_long_texts(spark):
     assert "lambdafunction(split" not in plan and "lambdafunction(get(split" not in plan
 
 
+def test_short_texts_of_hot_lines(spark):
+    x, y, z = "the first of the hot lines", "and the second, of 30 letters", ""
+    by = {0: ["a", x, "b"], 1: ["c", y, "d"]} | {i: [f"own {i}", (x, y)[i % 2], f"end {i}"] for i in range(2, 40)}
+    by |= {40: ["e", x, y, "f"], 41: [x, y], 42: [y, x], 43: [x, z, y], 44: ["g", y, x, z, y], 45: [y, x], 46: [x, z, y], 47: [x, y, "h"], 48: [x, y, "h", "i"], 49: [x, y, "i"]}
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in by.items()], "doc_id long, text string").repartition(3)
+    want = _shared_lines(by)
+    assert want == {41: {0, 1}, 45: {0, 1}, 46: {0, 1, 2}}
+    got = {x["doc_id"]: x["text"] for x in lines.without_repeated_lines(df).collect()}
+    assert got == {i: "\n".join(v for k, v in enumerate(t) if k not in want.get(i, ())) for i, t in by.items()}
+
+
 def test_lines_move_only_documents_that_lose_some(spark, tmp_path, no_broadcast):
     r = random.Random(5)
     rows = [(i, "\n".join(f"{_word(r)} line {k} of document {i}, " + "z" * 60 for k in range(40))) for i in range(300)]
