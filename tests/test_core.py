@@ -375,3 +375,32 @@ def test_configuration(tmp_path):
         corpus.Config.load(str(tmp_path / "empty.json"))
     config = corpus.Config.load(str(tmp_path / "empty.json"), input_dir="i", output_dir="o")
     assert config["splitter"]["max_segment_chars"] == 500 and config.on("export") and not config.on("semantic_dedup") and len(config["cleaner"]["skip_sections"]) == 15
+
+
+def test_minhash_pairs_by_all_pairs(spark, monkeypatch):
+    """Sets of all sizes, in hot keys and in tiles, in groups of one pair: as all pairs have it, with few pairs to verify."""
+    import random
+
+    rng = random.Random(5)
+    monkeypatch.setattr(dedup, "TILE", 8)
+    monkeypatch.setattr(dedup, "GROUP", 3)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(400)]
+    texts = []
+    for k in range(90):
+        base = rng.choices(words, k=rng.choice((1, 3, 30, 90, 200)))
+        for _ in range(rng.choice((1, 2, 12))):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate([*texts, "ab", None])), "doc_id long, text string")
+    sets = {i: {t[k : k + 3] for k in range(len(t) - 2)} for i, t in enumerate(texts) if len(t) > 2}
+    firsts = [i for i in sets if not any(sets[j] == sets[i] for j in range(i) if j in sets)]
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for x, a in enumerate(firsts) for b in firsts[x + 1 :]}
+    for threshold in (0.9, 0.6):
+        pairs, members = dedup.minhash_pairs(df, threshold)
+        assert {(r["a"], r["b"]): r["jaccard"] for r in pairs.collect()} == {k: v for k, v in want.items() if v >= threshold}
+    assert {r["first"] for r in members.collect()} == set(firsts)
+    signed = df.where("length(text) > 2").select(F.col("doc_id").alias("id"), "text").mapInArrow(dedup._signatures(16, 4, 3, 0.9), "id long, n long, m binary, own array<long>, odd binary, more array<long>, wide binary")
+    few = dedup._candidates(signed.where(F.col("id").isin(firsts)), 0.9).count()
+    assert few <= 3 * sum(v >= 0.9 for v in want.values()) + 20
