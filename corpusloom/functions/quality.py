@@ -30,7 +30,8 @@ def content_words(t: Column) -> Column:
 
 def readability(t: Column) -> Column:
     ss = T.sentences(t)
-    a = F.aggregate(ss, F.lit(0), lambda x, s: x + F.length(T.strip(s))) / F.size(ss)
+    a = F.aggregate(ss, F.lit(0), lambda x, s: x + F.length(T.strip(s)))
+    a = F.try_divide(a, F.size(ss))
     by_length = F.when(a < 10, 0.2).when(a < 30, 0.2 + 0.8 * (a - 10) / 20).when(a <= 80, 1.0).when(a <= 200, 1 - 0.7 * F.least((a - 80) / 120, F.lit(1.0))).otherwise(0.3)
     marks = sum((F.when(t.contains(m), 1).otherwise(0) for m in MARKS), F.lit(0))
     return 0.6 * by_length + 0.4 * F.least(marks / 5, F.lit(1.0))
@@ -45,15 +46,16 @@ def coherence(t: Column) -> Column:
 
 
 def density(t: Column) -> Column:
-    d = F.aggregate(content_words(t), F.lit(0), lambda x, w: x + F.length(w)) / F.length(t)
-    return F.when(d >= 0.8, 1.0).when(d <= 0.3, 0.2).otherwise(0.2 + 0.8 * (d - 0.3) / 0.5)
+    """Share of content words, an empty text having the full one."""
+    d = F.try_divide(F.aggregate(content_words(t), F.lit(0), lambda x, w: x + F.length(w)), F.length(t))
+    return F.when((F.length(t) == 0) | (d >= 0.8), 1.0).when(d <= 0.3, 0.2).otherwise(0.2 + 0.8 * (d - 0.3) / 0.5)
 
 
 def noise(t: Column) -> Column:
     gone = lambda p: F.length(t) - F.length(F.regexp_replace(t, p, ""))
     odd = r"(?U)[^\p{L}\p{N}_\s一-鿿　-〿＀-￯\"（）【】《》\[\]{}()\-+*/=<>]"
     total = gone(r"(?U)https?://\S+") + gone(r"(?U)\S+@\S+\.\S+") + gone(odd) + gone(r"(.)\1{4,}")
-    return F.least(total / F.length(t), F.lit(1.0))
+    return F.when(F.length(t) == 0, 1.0).otherwise(F.least(F.try_divide(total, F.length(t)), F.lit(1.0)))
 
 
 _SENTENCE = re.compile(r"(?<=[。！？.!?;；])\s*")

@@ -158,7 +158,7 @@ query(
     "info_density", "documents",
     rf"""with d as (select doc_id, coalesce(list_sum(list_transform({SQL_WORDS}, lambda w: length(w))), 0) / length(text) as d from documents)
 select doc_id, round(case when d >= 0.8 then 1.0 when d <= 0.3 then 0.2 else 0.2 + 0.8 * (d - 0.3) / 0.5 end, 4)::double as info_density from d""",
-)(lambda df: df.select("doc_id", F.round(Q.density(F.col("text")), 4).alias("info_density")))
+)(lambda df: df.select("doc_id", (F.round(Q.density(F.col("text")) * 10000) / 10000).alias("info_density")))
 
 
 def _sql_quality() -> str:

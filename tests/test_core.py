@@ -404,3 +404,28 @@ def test_minhash_pairs_by_all_pairs(spark, monkeypatch):
     signed = df.where("length(text) > 2").select(F.col("doc_id").alias("id"), "text").mapInArrow(dedup._signatures(16, 4, 3, 0.9), "id long, n long, m binary, own array<long>, odd binary, more array<long>, wide binary")
     few = dedup._candidates(signed.where(F.col("id").isin(firsts)), 0.9).count()
     assert few <= 3 * sum(v >= 0.9 for v in want.values()) + 20
+
+
+ODD = [None, "", " ", " \n\t", "\n  Led by blanks. and. \r\n\fmore;x", "a.\x0b b.\xa0c.　d!\x1c?", "\x0b", ".", "?!", "一。　二", "w" * 9, "the the", "Heat 热 " * 30]
+
+
+def as_sql(spark, tmp_path, name, rows, table="documents"):
+    """Rows of a query and of its SQL over *rows* (doc_id, text)."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    import __spark_entry__ as e
+
+    pq.write_table(pa.table(rows), str(tmp_path / f"{table}.parquet"))
+    got = e.queries()[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view {table} as select * from '{tmp_path}/{table}.parquet'")
+    con.execute(f"create table o as {e.oracle_sql()[name]}")
+    return sorted(map(tuple, got.collect()), key=repr), sorted(con.execute("select " + ", ".join(f'"{c}"' for c in got.columns) + " from o").fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("name", ["info_density"])
+def test_odd_texts_as_sql(spark, tmp_path, name):
+    got, want = as_sql(spark, tmp_path, name, {"doc_id": list(range(len(ODD))), "text": ODD})
+    assert got == want
