@@ -183,8 +183,10 @@ def mend_lines(ls: Column) -> Column:
     return folds.mended(ls)
 
 
-def sentences(t: Column) -> Column:
-    return F.filter(F.split(t, r"(?<=[。！？.!?;；])(?U)\s*", -1), lambda x: strip(x) != "")
+def sentences(t: Column, space: str = SPACE) -> Column:
+    """Parts of *t* up to an end mark each, without the white space (characters of *space*) before them; blank ones go."""
+    blank = f"[{space}]"
+    return F.filter(F.split(F.regexp_replace(t, f"^{blank}+", ""), f"(?<=[。！？.!?;；]){blank}*", -1), lambda x: x != "")
 
 
 def normal_key(t: Column) -> Column:

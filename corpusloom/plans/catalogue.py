@@ -151,7 +151,7 @@ query("split_lines", "documents", rf"with l as (select doc_id, unnest({SQL_LINES
 query("split_paragraphs", "documents", rf"with l as (select doc_id, unnest(string_split(text, chr(10) || chr(10))) as x, generate_subscripts(string_split(text, chr(10) || chr(10)), 1) - 1 as pos from documents) select doc_id, pos, regexp_replace(x, '{STRIP}', '', 'g') as text from l where length(regexp_replace(x, '{STRIP}', '', 'g')) >= 1")(
     lambda df: chunks.split_by(df, "paragraph")
 )
-query("sentences", "documents", f"select doc_id, unnest({SQL_SENTENCES}) as sentence from documents")(lambda df: df.select("doc_id", F.explode(T.sentences(F.col("text"))).alias("sentence")))
+query("sentences", "documents", f"select doc_id, unnest({SQL_SENTENCES}) as sentence from documents")(lambda df: df.select("doc_id", F.explode(T.sentences(F.col("text"), " \t\n\f\r")).alias("sentence")))
 SQL_STOP = "[" + ", ".join(f"'{w}'" for w in Q.STOP_EN + Q.STOP_ZH) + "]"
 SQL_WORDS = rf"list_filter(list_distinct(list_concat(list_filter(regexp_extract_all(lower(text), '[a-zA-Z]+'), lambda w: length(w) > 1), regexp_extract_all(text, '[\x{{4e00}}-\x{{9fff}}]'))), lambda w: not list_contains({SQL_STOP}, w))"
 query(

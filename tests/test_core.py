@@ -425,7 +425,7 @@ def as_sql(spark, tmp_path, name, rows, table="documents"):
     return sorted(map(tuple, got.collect()), key=repr), sorted(con.execute("select " + ", ".join(f'"{c}"' for c in got.columns) + " from o").fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("name", ["info_density"])
+@pytest.mark.parametrize("name", ["info_density", "sentences"])
 def test_odd_texts_as_sql(spark, tmp_path, name):
     got, want = as_sql(spark, tmp_path, name, {"doc_id": list(range(len(ODD))), "text": ODD})
     assert got == want
