@@ -159,23 +159,12 @@ def map_lines(ls: Column, cleaner: Cleaner) -> Column:
 
 def markdown_lines(t: Column, watermarks: tuple[str, ...] = WATERMARKS, references: bool = True, garbled: bool = True) -> Column:
     """Lines of a markdown text without contents, links, watermarks, citations, references and odd characters."""
-    ls = drop_contents_block(F.transform(lines(t), rstrip))
-    ls = F.filter(ls, lambda x: ~is_link(x) & ~has_watermark(x, watermarks))
-    ls = F.transform(ls, compose(strip_brackets, strip_author_year))
-    ls = F.filter(ls, lambda x: ~is_catalogue_entry(x) & ~is_contents_line(strip(x)) & ~is_url_line(x))
-    ls = map_lines(ls, compose(strip_tail_page, strip_figures, strip_watermark, strip_references))
-    ls = map_lines(ls, strip_et_al) if references else ls
-    return map_lines(ls, compose(keep_line_chars)) if garbled else ls
+    return folds.markdown_lines(t, watermarks=tuple(watermarks), references=references, garbled=garbled)
 
 
 def plain_lines(t: Column, watermarks: tuple[str, ...] = WATERMARKS, mend: bool = True) -> Column:
     """Lines of a plain text, cleaned likewise (one blank line stays of several), with broken lines mended on request."""
-    clean = compose(strip_brackets, strip_author_year, strip_tail_page, strip_figures, strip_references, keep_line_chars, strip_et_al, strip)
-    goes = lambda x: is_link(x) | has_watermark(x, watermarks) | is_catalogue_entry(x) | is_url_line(x)
-    # blanks are marked, so that lines which cleaning empties can go
-    ls = F.transform(F.transform(lines(t), rstrip), lambda x: F.when(x == "", "\n").when(goes(x), "").otherwise(clean(x)))
-    ls = F.transform(F.filter(ls, lambda x: x != ""), lambda x: F.when(x == "\n", "").otherwise(x))
-    return folds.one_blank(ls, mend=mend)
+    return folds.plain_lines(t, watermarks=tuple(watermarks), mend=mend)
 
 
 def mend_lines(ls: Column) -> Column:

@@ -19,7 +19,7 @@ def pack(pieces: Column, most: int = 500, least: int = 50, sep: str = "") -> Col
 
 def chunks(df: DataFrame, most: int = 500, least: int = 50, text: str = "text", order: str = "doc_id") -> DataFrame:
     """(order, chunk_no, content, char_count), chunk_no by document."""
-    rows = df.select(order, F.posexplode(pack(T.sentences(F.col(text)), most, least)).alias("chunk_no", "content"))
+    rows = df.select(order, F.posexplode(folds.sentence_packs(F.col(text), most=most, least=least)).alias("chunk_no", "content"))
     return rows.withColumn("char_count", F.length("content").cast("long"))
 
 
@@ -27,8 +27,13 @@ def section_chunks(sections: DataFrame, most: int = 500, least: int = 50, source
     """Chunks of sections (source_file, section_no, title, full_path, level, body and, if *source_type* names it, the type of the source):
     (content, section_title, full_path, source_file, source_type, chunk_index, level, char_count), chunk_index over all of them by source_file."""
     kind = F.coalesce(F.col(source_type), F.lit("unknown")) if source_type else F.lit("unknown")
-    rows = sections.select("source_file", "section_no", F.col("title").alias("section_title"), "full_path", kind.alias("source_type"), "level", F.posexplode(pack(T.sentences(F.col("body")), most, least)).alias("pos", "content"))
-    rows = numbered(rows, ["source_file", "section_no", "pos"], "chunk_index")
+    packs = folds.sentence_packs(F.col("body"), most=most, least=least)
+    # sections are numbered by the counts of their chunks, so that only these are sorted; the chunks go to the numbers
+    first = numbered(sections.select("source_file", "section_no", F.size(packs).alias("n")), ["source_file", "section_no"], "first", weight="n")
+    rows = sections.select("source_file", "section_no", F.col("title").alias("section_title"), "full_path", kind.alias("source_type"), "level", "body")
+    first = first.select(F.col("source_file").alias("__f"), F.col("section_no").alias("__s"), "first")
+    rows = rows.join(first, F.col("source_file").eqNullSafe(F.col("__f")) & F.col("section_no").eqNullSafe(F.col("__s")))
+    rows = rows.select("section_title", "full_path", "source_file", "source_type", "level", "first", F.posexplode(packs).alias("pos", "content")).withColumn("chunk_index", F.col("first") + F.col("pos"))
     return rows.select("content", "section_title", "full_path", "source_file", "source_type", "chunk_index", "level", F.length("content").cast("long").alias("char_count"))
 
 
@@ -63,7 +68,7 @@ def plain_sections(df: DataFrame, text: str = "text", order: str = "doc_id", lea
 
     Text before the first title is called by the stem of the file that column *name* holds; a text without any part is one section."""
     names = [F.col(name).cast("string")] if name else [F.col(order).cast("string")]
-    return _sections(df, order, folds.plain_sections(T.plain_lines(F.col(text), watermarks, mend), *names, least=least))
+    return _sections(df, order, folds.sections_of_plain(F.col(text), *names, lines={"watermarks": tuple(watermarks), "mend": mend}, least=least))
 
 
 def markdown_sections(
@@ -71,7 +76,9 @@ def markdown_sections(
 ) -> DataFrame:
     """(order, section_no, title, full_path, level, body, char_count) of headed parts with more than the least letters; text before a heading goes, and so do
     sections whose own or parent's title has a part in *skip*."""
-    return _sections(df, order, folds.markdown_sections(T.markdown_lines(F.col(text), watermarks, references, garbled), skip=tuple(skip), least_top=least_top, least=least))
+    return _sections(df, order, folds.sections_of_markdown(
+        F.col(text), lines={"watermarks": tuple(watermarks), "references": references, "garbled": garbled}, sections={"skip": tuple(skip), "least_top": least_top, "least": least}
+    ))
 
 
 def source_type(stem: Column, known: Column | None = None, extensions: Column | None = None) -> Column:

@@ -26,13 +26,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
-    """Adds *out*, the place from 0 on by *order*: rows are range-partitioned, and the counts of the parts before, one row each, are added to the place within a part."""
+def numbered(df: DataFrame, order: list[str], out: str, weight: str | None = None) -> DataFrame:
+    """Adds *out*, the place from 0 on by *order* (or the sum of *weight* before it): rows are range-partitioned, and the counts of the parts before, one row each, are
+    added to the place within a part.  *df* is computed once."""
+    df = settled(df)
     parts = max(1, -(-df.count() // PART_ROWS))
     ranged = settled(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()))
+    each = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    base = ranged.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    base = ranged.groupBy("__part").agg(F.sum(each).alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    place = F.coalesce(F.sum(each).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return ranged.join(base, "__part").withColumn(out, F.col("__base") + place).drop("__part", "__base")
 
 
@@ -68,3 +71,14 @@ def spread(df: DataFrame) -> DataFrame:
     """*df* over all cores if it comes in fewer parts (a small table in one row group); a large one as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+#: Bytes of an Arrow batch that goes to a Python worker, where the session has Spark's default.
+BATCH = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches of Python workers by bytes, so that their memory follows neither the rows of a table nor the length of its texts; a session's own value stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) in ("64MB", "64m", "67108864", "67108864b"):
+        spark.conf.set(name, BATCH)

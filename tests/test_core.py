@@ -429,3 +429,52 @@ def as_sql(spark, tmp_path, name, rows, table="documents"):
 def test_odd_texts_as_sql(spark, tmp_path, name):
     got, want = as_sql(spark, tmp_path, name, {"doc_id": list(range(len(ODD))), "text": ODD})
     assert got == want
+
+
+def test_sections_are_numbered_by_counts(spark, monkeypatch):
+    """What is numbered is computed once; section_chunks sorts counts, not chunks, and keeps rows of null files."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(40).mapInArrow(count, "id long")
+    assert {r["id"]: r["n"] for r in scale.numbered(df, ["id"], "n", weight="id").collect()} == {i: i * (i - 1) // 2 for i in range(40)}
+    assert seen.value == 40
+    monkeypatch.setattr(scale, "PART_ROWS", 3)
+    body = "One sentence of some length. " * 9
+    rows = [(f"f{i % 4}" if i % 4 else None, i, "t", "t", 1, body if i % 3 else "") for i in range(23)]
+    got = chunks.section_chunks(spark.createDataFrame(rows, "source_file string, section_no long, title string, full_path string, level int, body string"), 100, 10).orderBy("chunk_index").collect()
+    want = sorted((r for r in rows if r[5]), key=lambda r: (r[0] or "", r[1]))
+    assert [r["chunk_index"] for r in got] == list(range(len(got)))
+    assert [r["source_file"] for r in got] == [r[0] for r in want for _ in folds._packed(folds._sentences(body), 100, 10)]
+
+
+LINES = ["Intro 12 (34)", "( 7 )", "x/ /12", "1.2 and 3.4 9", "1.2(3)", "1.2 12345", "第3章 x 7", "12", "a[1]]b[c", "王（2019，2020）x²(2021)", "as shown in Table 3. see fig 2a!", "参见图 3-1 所示", "(Smith et al., 2024)x", " https://a.b/c ", "x https://a.b/c", "TABLE 9", "![a", "a](b", "EMAIL", "CIP", "Contents", "y", "# z", "é “q”"]
+
+
+@pytest.mark.parametrize("name", ["markdown_lines", "plain_lines", "mended_lines", "section_chunks"])
+def test_lines_as_sql(spark, tmp_path, name):
+    texts = ["\n".join(LINES[k:] + LINES[:k]) for k in range(0, len(LINES), 3)]
+    got, want = as_sql(spark, tmp_path, name, {"doc_id": list(range(len(texts))), "text": texts})
+    assert got == want
+
+
+def test_line_cleaners_take_linear_time():
+    long = ["(" * 9 + " " * 500_000 + "12345)", "[" * 300_000, "]" + "[" * 300_000, "a" + " " * 500_000 + "b 7", "/ " * 300_000 + "x", "1." * 300_000, "word, " * 200_000]
+    for f in (folds._markdown_lines, folds._plain_lines):
+        began = time.process_time()
+        f("\n".join(long), T.WATERMARKS)
+        assert time.process_time() - began < 4
+
+
+def test_workers_hold_pieces(monkeypatch):
+    """A batch is worked off a few rows at a time, whatever its size."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(folds, "PIECE_CHARS", 1000)
+    sizes, batch = [], pa.array([None, *("x" * (5000 if k == 7 else 10) for k in range(3000))])
+    out = list(folds.in_pieces([batch, pa.array([], pa.string())], lambda rows: sizes.append(len(rows)) or pa.array([v for (v,) in rows], pa.string())))
+    assert pa.concat_arrays(out) == batch and max(sizes) <= folds.PIECE_ROWS and len(sizes) > 20
