@@ -1,12 +1,14 @@
 """Four-part quality of a text: readability, coherence, information density, noise."""
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import folds
 from . import text as T
 
 STOP_EN = tuple(
@@ -125,7 +127,7 @@ def scores(t: Column) -> Column:
     """Struct of the four parts and the overall score, rounded to four places; a blank text has none but noise."""
 
     @F.arrow_udf(", ".join(f"{n} double" for n in NAMES))
-    def score(texts: pa.Array) -> pa.Array:
-        return score_batch(texts)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return folds.in_pieces(batches, lambda rows: score_batch(pa.array([t for (t,) in rows], pa.string())))
 
     return score(t)

@@ -32,7 +32,11 @@ def query(name: str, table: str, sql: str | None = None):
     """Registers a function of one table."""
 
     def add(f: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: f(scale.spread(read(spark, sf_dir, table)))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            scale.small_batches(spark)
+            return f(scale.spread(read(spark, sf_dir, table)))
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return f
