@@ -115,10 +115,15 @@ strip_author_year = sub(rf"(?U)\b[\w{CJK}]+(?:和[\w{CJK}]+)?\s*[（(]\d{{4}}(?:
 strip_et_al = sub(r"\((?:[A-Za-z]|[一-龥])+\s+et\s+al\.,\s+\d{4}\)")
 keep_line_chars = sub(r"[^\x20-\x7E一-龥　-〿＀-￯]")
 strip_tail_page = compose(sub(r"[/\s]*\(\s*\d{1,4}\s*\)\s*$"), sub(r"[/\s]+\d{1,4}\s*$"))
-strip_figures = compose(*(sub(rf"(?i){w}\s?\d+[.\d\-]*") for w in ("表", "图", "table", "figure")))
+def where_any(words: tuple[str, ...], cleaner: Cleaner) -> Cleaner:
+    """*cleaner*, only for texts that hold one of *words*."""
+    return lambda t: F.when(reduce(lambda a, b: a | b, (t.contains(w) for w in words)), cleaner(t)).otherwise(t)
+
+
+strip_figures = compose(*(where_any((w,), sub(rf"{w}\s?\d+[.\d\-]*")) for w in ("表", "图")), *(sub(rf"(?i){w}\s?\d+[.\d\-]*") for w in ("table", "figure")))
 _NUMBER = r"\d+(?:[.\-]\d+)*[A-Za-z]?"
 strip_references = compose(
-    sub(rf"(?:参见|如|见)?\s*[图表]\s*{_NUMBER}\s*(?:所[示列给])?"),
+    where_any(("图", "表"), sub(rf"(?:参见|如|见)?\s*[图表]\s*{_NUMBER}\s*(?:所[示列给])?")),
     sub(rf"(?i)(?:as\s+shown\s+in|see)?\s*(?:fig(?:ure|\.)?|table)\s+{_NUMBER}"),
 )
 
